@@ -91,11 +91,12 @@ class Retail:
         """
         spec, table = DIMS[name], DIM_SOURCE[name]
         root = f"{shared_folder(self.spark)}/starflow-{uuid.uuid4().hex}/{spec.table}"
+        merged = None
         for day in range(1, self.day + 1):
-            if day > 1:
-                publish(merged, root, DAYS[day - 1])  # noqa: F821
+            if merged is not None:
+                publish(merged, root, DAYS[day - 1])
             merged = scd2_merge(
-                read_previous(self.spark, root, DAYS[day]) if day > 1 else None,
+                read_previous(self.spark, root, DAYS[day]),
                 self.landed(table, day),
                 spec,
                 DAYS[day],
