@@ -53,7 +53,6 @@ def scd2_merge(
     *,
     overwrite_scd1: bool = True,
     at: datetime | None = None,
-    check_keys: bool = True,
 ) -> DataFrame:
     """Today's full copy of a history dimension.
 
@@ -67,10 +66,10 @@ def scd2_merge(
     the full outer join with the active versions then reuses it.
     """
     snapshot = _snapshot(src, spec)
-    if check_keys:
-        require_one_row_per_key(snapshot, spec.key)
+    rows = require_one_row_per_key(snapshot, spec.key)
     if prev is None:
-        return _opened(dense_key(snapshot, spec.key, spec.sk), spec, bizdate, at)
+        keyed = dense_key(snapshot, spec.key, spec.sk, rows=rows)
+        return _opened(keyed, spec, bizdate, at)
 
     prev = prev.select(*_version_columns(spec))
     active = scd2_active(prev)
@@ -160,12 +159,17 @@ def unkeyed_rows(src: DataFrame, spec: DimSpec) -> DataFrame:
     return src.where(F.col(spec.key).isNull())
 
 
-def require_one_row_per_key(snapshot: DataFrame, key: str) -> None:
-    """Raise when a key occurs twice; reads the key only and counts map-side."""
-    repeated = snapshot.groupBy(key).count().where("count > 1").limit(5).collect()
-    if repeated:
-        shown = ", ".join(f"{r[key]} ({r['count']} rows)" for r in repeated)
-        raise DuplicateKeyError(f"{key} is not unique, for example {shown}")
+def require_one_row_per_key(snapshot: DataFrame, key: str) -> int:
+    """The number of rows; raises when a key occurs twice.
+
+    Reads the key only, and counts repeats map-side before the shuffle.
+    """
+    per_key = snapshot.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    most = F.max_by(F.struct(key, "n"), F.col("n"))
+    rows, worst = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)), most).first()
+    if worst is not None and worst["n"] > 1:
+        raise DuplicateKeyError(f"{key} {worst[key]} has {worst['n']} rows")
+    return rows
 
 
 def _version_columns(spec: DimSpec) -> list[str]:

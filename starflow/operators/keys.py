@@ -52,16 +52,19 @@ def dense_key(
     name: str,
     start: int = 0,
     *,
+    rows: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
 ) -> DataFrame:
     """Append ``name``: ``start`` + the 1-based rank of the row by ``order_by``.
 
-    Rows with equal keys get consecutive numbers in arbitrary order.
+    Rows with equal keys get consecutive numbers in arbitrary order. ``rows`` is the
+    exact row count where the caller has it already.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    rows = df.select(*order).count()
+    if rows is None:
+        rows = df.select(*order).count()
     if rows <= single_task_rows:
         rank = F.row_number().over(Window.orderBy(*order))
         return df.withColumn(name, rank.cast("long") + F.lit(start).cast("long"))
