@@ -19,12 +19,12 @@ RATE = "decimal(9,6)"
 
 def grain_unique(df: DataFrame, grain: list[str], name: str) -> DataFrame:
     """Rows, distinct grain keys, keys held by several rows, and the surplus rows."""
-    per_key = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("__n"))
     return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("row_count"),
         F.count(F.lit(1)).alias("distinct_keys"),
-        F.count(F.when(F.col("n") > 1, 1)).alias("repeated_keys"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus_rows"),
+        F.count(F.when(F.col("__n") > 1, 1)).alias("repeated_keys"),
+        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("surplus_rows"),
     ).select(F.lit(name).alias("fact_name"), "*")
 
 
@@ -38,13 +38,13 @@ def join_miss(
     fact: DataFrame, fk: str, dim: DataFrame, key: str, fact_name: str, dim_name: str
 ) -> DataFrame:
     """Share of fact rows whose foreign key has no dimension row."""
-    per_fk = fact.groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
+    per_fk = fact.groupBy(fk).agg(F.count(F.lit(1)).alias("__n"))
     known = dim.select(F.col(key).alias("__key")).distinct()
     matched = per_fk.join(known, per_fk[fk] == known["__key"], "left")
-    missed = F.when(F.col("__key").isNull(), F.col("n")).otherwise(F.lit(0))
+    missed = F.when(F.col("__key").isNull(), F.col("__n")).otherwise(F.lit(0))
     return (
         matched.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("fact_rows"),
+            F.coalesce(F.sum("__n"), F.lit(0)).alias("fact_rows"),
             F.coalesce(F.sum(missed), F.lit(0)).alias("missed_rows"),
         )
         .withColumn("miss_rate", rate("missed_rows", "fact_rows"))
@@ -74,14 +74,14 @@ def conformed_attribute(
 ) -> DataFrame:
     """How often an attribute kept on the fact agrees with the dimension's."""
     kind = fact.schema[fact_column].dataType
-    per_value = fact.groupBy(fk, fact_column).agg(F.count(F.lit(1)).alias("n"))
+    per_value = fact.groupBy(fk, fact_column).agg(F.count(F.lit(1)).alias("__n"))
     side = dim.select(F.col(key).alias("__key"), F.col(dim_column).alias("__attr"))
     joined = per_value.join(side, per_value[fk] == side["__key"], "left")
     unmatched = F.col("__key").isNull()
     disagree = ~unmatched & differs(per_value[fact_column], F.col("__attr"), kind)
 
     def rows_where(test: Column) -> Column:
-        return F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+        return F.coalesce(F.sum(F.when(test, F.col("__n"))), F.lit(0))
 
     return joined.agg(
         rows_where(~unmatched & ~disagree).alias("agreeing_rows"),
@@ -125,11 +125,11 @@ def scd2_intervals(dim: DataFrame, key: str, name: str) -> DataFrame:
     in it are bounded by its distinct intervals.
     """
     versions = dim.groupBy(key, "begin_date", "end_date", "is_active").agg(
-        F.count(F.lit(1)).alias("n")
+        F.count(F.lit(1)).alias("__n")
     )
     of_key = Window.partitionBy(key)
     in_time = of_key.orderBy("begin_date", "end_date", "is_active")
-    active = F.when(F.col("is_active") == 1, F.col("n")).otherwise(F.lit(0))
+    active = F.when(F.col("is_active") == 1, F.col("__n")).otherwise(F.lit(0))
     marked = versions.select(
         "*",
         F.lead("begin_date").over(in_time).alias("next_begin"),
@@ -139,13 +139,13 @@ def scd2_intervals(dim: DataFrame, key: str, name: str) -> DataFrame:
     is_open = F.col("end_date") == OPEN_END
 
     def versions_where(test: Column) -> Column:
-        return F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+        return F.coalesce(F.sum(F.when(test, F.col("__n"))), F.lit(0))
 
-    overlaps = F.col("n") - 1 + F.when(
+    overlaps = F.col("__n") - 1 + F.when(
         F.col("next_begin") < F.col("end_date"), 1
     ).otherwise(0)
     return marked.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("versions"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("versions"),
         F.count(F.when(F.col("position") == 1, 1)).alias("keys"),
         F.count(
             F.when((F.col("position") == 1) & (F.col("active_of_key") != 1), 1)

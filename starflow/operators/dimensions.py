@@ -164,11 +164,11 @@ def require_one_row_per_key(snapshot: DataFrame, key: str) -> int:
 
     Reads the key only, and counts repeats map-side before the shuffle.
     """
-    per_key = snapshot.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    most = F.max_by(F.struct(key, "n"), F.col("n"))
-    rows, worst = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)), most).first()
-    if worst is not None and worst["n"] > 1:
-        raise DuplicateKeyError(f"{key} {worst[key]} has {worst['n']} rows")
+    per_key = snapshot.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    most = F.max_by(F.struct(key, "__n"), F.col("__n"))
+    rows, worst = per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)), most).first()
+    if worst is not None and worst["__n"] > 1:
+        raise DuplicateKeyError(f"{key} {worst[key]} has {worst['__n']} rows")
     return rows
 
 

@@ -92,7 +92,7 @@ def dense_key(
     firsts = _number_ranges(
         collapsed, finest, finest, bounds, _FIRST, start, weight=_COPIES
     )
-    return _spread_copies(firsts, name).select(*everything, name)
+    return _spread_copies(firsts, name, buckets).select(*everything, name)
 
 
 def _sample_bounds(
@@ -160,12 +160,16 @@ def _rank(inside, weight: str | None) -> Column:
     return F.coalesce(F.sum(weight).over(before), F.lit(0)).cast("long") + F.lit(1)
 
 
-def _spread_copies(firsts: DataFrame, name: str) -> DataFrame:
-    """One row per copy again: cut each count into blocks, spread, then expand."""
+def _spread_copies(firsts: DataFrame, name: str, tasks: int) -> DataFrame:
+    """One row per copy again: cut each count into blocks, spread, then expand.
+
+    The number of tasks is given, since adaptive coalescing would judge the blocks
+    by their size before they expand.
+    """
     block = F.lit(COPIES_PER_TASK).cast("long")
     last = F.col(_FIRST) + F.col(_COPIES) - F.lit(1)
     blocks = firsts.withColumn(
         "__from", F.explode(F.sequence(F.col(_FIRST), last, block))
     ).withColumn("__to", F.least(F.col("__from") + block - F.lit(1), last))
-    spread = blocks.repartition(F.col("__from"))
+    spread = blocks.repartition(tasks, F.col("__from"))
     return spread.withColumn(name, F.explode(F.sequence("__from", "__to")))

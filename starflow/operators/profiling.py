@@ -85,9 +85,9 @@ def candidate_keys(df: DataFrame, name: str) -> DataFrame:
             rows > 0 and nulls == 0 and sketch[f"d_{i}"] >= rows * (1 - _SKETCH_MARGIN)
         )
         if may_be_key:
-            per_value = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+            per_value = df.groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
             exact.append(
-                per_value.agg((F.max("n") == 1).alias("is_key")).select(
+                per_value.agg((F.max("__n") == 1).alias("is_key")).select(
                     *described(c, nulls), "is_key"
                 )
             )
@@ -106,15 +106,15 @@ def reference_match(
     child: DataFrame, fk: str, parent: DataFrame, key: str, name: str
 ) -> DataFrame:
     """How far ``child.fk`` is contained in ``parent.key``; NULL keys are not misses."""
-    per_key = child.groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
+    per_key = child.groupBy(fk).agg(F.count(F.lit(1)).alias("__n"))
     known = parent.select(F.col(key).alias("__key")).distinct()
     joined = per_key.join(known, per_key[fk] == known["__key"], "left")
     given = per_key[fk].isNotNull()
     found = F.col("__key").isNotNull()
     totals = joined.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("child_rows"),
-        F.coalesce(F.sum(F.when(~given, F.col("n"))), F.lit(0)).alias("null_rows"),
-        F.coalesce(F.sum(F.when(found, F.col("n"))), F.lit(0)).alias("matched_rows"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("child_rows"),
+        F.coalesce(F.sum(F.when(~given, F.col("__n"))), F.lit(0)).alias("null_rows"),
+        F.coalesce(F.sum(F.when(found, F.col("__n"))), F.lit(0)).alias("matched_rows"),
         F.count(F.when(given, 1)).alias("distinct_keys"),
         F.count(F.when(given & ~found, 1)).alias("unmatched_keys"),
     )
