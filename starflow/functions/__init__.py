@@ -2,14 +2,15 @@
 
 from starflow.functions.audit import audit_columns, load_time
 from starflow.functions.compare import any_differs, differs, same
-from starflow.functions.search import bounds_literal, position_in
+from starflow.functions.search import constant_array, constant_longs, place
 
 __all__ = [
     "any_differs",
     "audit_columns",
-    "bounds_literal",
+    "constant_array",
+    "constant_longs",
     "differs",
     "load_time",
-    "position_in",
+    "place",
     "same",
 ]

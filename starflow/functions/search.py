@@ -1,27 +1,37 @@
-"""Binary search of a row's key in a sorted list of bounds, as a plain column.
+"""Binary search of a row's key in a sorted list of bounds, as plain columns.
 
 The bounds travel inside the plan as one constant array, so placing a row takes
-log2(n) comparisons in the JVM, with no join, no shuffle and no UDF.
+log2(n) comparisons in generated code, with no join, no shuffle and no UDF.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, DataType, LongType
 
 
-def bounds_literal(bounds_json: str, key_type: StructType) -> Column:
-    """A constant ``array<struct>`` from its JSON text (folded by the optimizer)."""
-    return F.from_json(F.lit(bounds_json), ArrayType(key_type))
+def constant_array(values: list, element: DataType) -> Column:
+    """A constant array column; the optimizer folds it to one literal."""
+    return F.from_json(F.lit(json.dumps(values)), ArrayType(element))
 
 
-def position_in(bounds: Column, size: int, key: Column) -> Column:
-    """How many of the ``size`` sorted ``bounds`` are <= ``key`` (0..size)."""
-    steps = [1 << i for i in reversed(range(max(size, 1).bit_length()))]
+def constant_longs(values: list[int]) -> Column:
+    return constant_array(values, LongType())
 
-    def advance(low: Column, step: Column) -> Column:
-        probe = F.get(bounds, low + step - F.lit(1))
-        return low + F.when(probe <= key, step).otherwise(F.lit(0))
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+def place(df: DataFrame, name: str, bounds: Column, size: int, key: Column) -> DataFrame:
+    """Add ``name``: how many of the ``size`` sorted bounds are <= ``key``.
+
+    A NULL key goes to 0. Each halving step is a column of its own, since an
+    expression that used the step before it twice would double at every level.
+    """
+    steps = [1 << i for i in reversed(range(max(size, 1).bit_length()))]
+    df = df.withColumn(name, F.lit(0))
+    for step in steps:
+        low = F.col(name)
+        reached = F.get(bounds, low + F.lit(step - 1)) <= key
+        df = df.withColumn(name, low + F.when(reached, F.lit(step)).otherwise(F.lit(0)))
+    return df

@@ -30,9 +30,9 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
-from starflow.functions import bounds_literal, position_in
+from starflow.functions import constant_array, constant_longs, place
 
 SINGLE_TASK_ROWS = 500_000
 ROWS_PER_BUCKET = 1 << 16
@@ -123,14 +123,14 @@ def _number_ranges(
     start: int,
     weight: str | None = None,
 ) -> DataFrame:
-    kept = [b for i, b in enumerate(bounds) if i == 0 or b != bounds[i - 1]]
-    key_type = StructType([StructField(c, df.schema[c].dataType) for c in cut_on])
-    where = position_in(
-        bounds_literal(json.dumps(kept), key_type),
-        len(kept),
-        F.struct(*cut_on),
-    )
-    placed = df.withColumn(_BUCKET, where)
+    kept = [b for i, b in enumerate(bounds) if b and (i == 0 or b != bounds[i - 1])]
+    if len(cut_on) == 1:
+        kind, key = df.schema[cut_on[0]].dataType, F.col(cut_on[0])
+        limits = constant_array([b[cut_on[0]] for b in kept], kind)
+    else:
+        kind = StructType([StructField(c, df.schema[c].dataType) for c in cut_on])
+        key, limits = F.struct(*cut_on), constant_array(kept, kind)
+    placed = place(df, _BUCKET, limits, len(kept), key)
 
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = {
@@ -139,11 +139,7 @@ def _number_ranges(
     }
     sizes = [counts.get(i, 0) for i in range(len(kept) + 1)]
     offsets = [start + n for n in accumulate([0, *sizes[:-1]])]
-    offset_type = StructType([StructField("n", LongType())])
-    offset = F.get(
-        bounds_literal(json.dumps([{"n": n} for n in offsets]), offset_type),
-        F.col(_BUCKET),
-    )["n"]
+    offset = F.get(constant_longs(offsets), F.col(_BUCKET))
 
     inside = Window.partitionBy(_BUCKET).orderBy(*order)
     return (

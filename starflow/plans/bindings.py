@@ -14,6 +14,9 @@ from starflow.plans.schemas import MONEY
 
 DAYS = {1: "2026-07-07", 2: "2026-07-08", 3: "2026-07-09"}
 
+# Tables whose line ids are row numbers over the whole source table.
+NUMBERED_TABLES = ("order_item", "refund_info", "stock_info", "user_coupon")
+
 LINE_ORDER = [
     "l_orderkey",
     "l_linenumber",
