@@ -43,9 +43,13 @@ class Bindings:
         self.spark = spark
         self.folder = folder
         self.numbered = numbered
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            path = f"{self.folder}/{name}.parquet"
+            self._tables[name] = self.spark.read.parquet(path)
+        return self._tables[name]
 
     def source(self, name: str, day: int = 1) -> DataFrame:
         if name in ("user_info", "sku_info"):

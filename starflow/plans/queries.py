@@ -29,6 +29,7 @@ from starflow.operators.summaries import daily_average, period_end, summarise
 from starflow.plans.bindings import DAYS, LINE_ORDER, NUMBERED_TABLES, Bindings
 from starflow.plans.model import DIMS, FACTS, SUMMARIES
 from starflow.plans.schemas import KEYS, SOURCES
+from starflow.plans.tables import table_schema
 from starflow.sources.landing import land_snapshot, map_columns
 from starflow.sources.storage import (
     FACT_STRIPE_BYTES,
@@ -89,10 +90,12 @@ class Retail:
 
     def dim(self, name: str) -> DataFrame:
         if name not in self._dims:
-            spec, src = DIMS[name], self.landed(DIM_SOURCE[name])
-            self._dims[name] = (
-                self.history(name) if spec.tracked else scd1_load(src, spec, self.bizdate)
-            )
+            spec = DIMS[name]
+            if spec.tracked:
+                self._dims[name] = self.history(name)
+            else:
+                src = self.landed(DIM_SOURCE[name])
+                self._dims[name] = scd1_load(src, spec, self.bizdate)
         return self._dims[name]
 
     def history(self, name: str, overwrite_scd1: bool = True) -> DataFrame:
@@ -102,12 +105,12 @@ class Retail:
         """
         spec, table = DIMS[name], DIM_SOURCE[name]
         root = f"{shared_folder(self.spark)}/starflow-{uuid.uuid4().hex}/{spec.table}"
-        merged = None
+        merged, stored = None, table_schema(spec.table)
         for day in range(1, self.day + 1):
             if merged is not None:
                 publish(merged, root, DAYS[day - 1])
             merged = scd2_merge(
-                read_previous(self.spark, root, DAYS[day]),
+                read_previous(self.spark, root, DAYS[day], schema=stored),
                 self.landed(table, day),
                 spec,
                 DAYS[day],
@@ -120,7 +123,8 @@ class Retail:
         before = Retail(self.spark, self.bindings.folder, self.day - 1)
         root = f"{shared_folder(self.spark)}/starflow-{uuid.uuid4().hex}/{name}"
         publish(before.history(name), root, before.bizdate)
-        return read_previous(self.spark, root, self.bizdate)
+        schema = table_schema(DIMS[name].table)
+        return read_previous(self.spark, root, self.bizdate, schema=schema)
 
     def fact(self, name: str, **options) -> DataFrame:
         spec = FACTS[name]

@@ -223,3 +223,42 @@ def test_specs_refuse_wrong_aggregates():
         mean.check({"f": money})
     with pytest.raises(ValueError, match="not an atomic aggregate"):
         Metric("m", "f", "n", "stddev", "double")
+
+
+def test_hot_foreign_key_is_split(spark, tmp_path):
+    """Dimension too large to broadcast, a third of the fact on one user."""
+    spec = FACTS["payment"]
+    src = spark.range(300_000).selectExpr(
+        "id AS pay_id",
+        "if(id % 3 = 0, 5, id % 50000) AS user_id",
+        "hex(xxhash64(id)) AS pay_type",
+        "cast(1 AS tinyint) AS pay_status",
+        "'2026-01-01' AS pay_time",
+        "cast(id AS decimal(16,2)) AS pay_amount",
+    )
+    src.write.parquet(str(tmp_path / "src"))
+    users = spark.range(50_000).selectExpr(
+        "id AS user_id", "id + 1 AS user_sk", f"'{DAY}' AS pt", "1 AS is_active"
+    )
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        rows = spark.read.parquet(str(tmp_path / "src")).repartition(8)
+        fact = load_fact(rows, {"user": users}, spec, DIMS, DAY, surrogate=False)
+        looked_up = fact.select("pay_type", "user_sk", "is_valid")
+        pairs = looked_up.collect()
+        assert sum(r.user_sk == 6 for r in pairs) >= 100_000
+        assert len(pairs) == 300_000 and all(r.is_valid == 1 for r in pairs)
+        plan = looked_up._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
