@@ -33,9 +33,14 @@ class DuplicateKeyError(ValueError):
 def scd1_load(
     src: DataFrame, spec: DimSpec, bizdate: str, at: datetime | None = None
 ) -> DataFrame:
-    """Replace the dimension by today's snapshot, numbering keys afresh."""
-    rows = src.select(spec.key, *spec.attributes)
-    keyed = dense_key(rows, spec.key, spec.sk)
+    """Replace the dimension by today's snapshot, numbering keys afresh.
+
+    As in a history merge, rows without a key are left out and a repeated key is
+    refused: it would multiply every fact row that refers to it.
+    """
+    snapshot = _snapshot(src, spec)
+    rows = require_one_row_per_key(snapshot, spec.key)
+    keyed = dense_key(snapshot, spec.key, spec.sk, rows=rows, unique=True)
     return keyed.select(
         spec.sk,
         spec.key,
@@ -68,7 +73,7 @@ def scd2_merge(
     snapshot = _snapshot(src, spec)
     rows = require_one_row_per_key(snapshot, spec.key)
     if prev is None:
-        keyed = dense_key(snapshot, spec.key, spec.sk, rows=rows)
+        keyed = dense_key(snapshot, spec.key, spec.sk, rows=rows, unique=True)
         return _opened(keyed, spec, bizdate, at)
 
     prev = prev.select(*_version_columns(spec))
@@ -103,7 +108,7 @@ def scd2_new(
     """Only the versions that today's snapshot opens (new and changed keys)."""
     snapshot = _snapshot(src, spec)
     if prev is None:
-        keyed = dense_key(snapshot, spec.key, spec.sk)
+        keyed = dense_key(snapshot, spec.key, spec.sk, unique=True)
     else:
         keyed = snapshot.join(_numbered_openings(prev, snapshot, spec), spec.key)
     return _opened(keyed, spec, bizdate, at)

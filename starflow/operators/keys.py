@@ -10,7 +10,8 @@ count, rows are instead split into key ranges of about equal size:
 4. send range *i* to partition *i*, number inside it and add its offset.
 
 Only step 4 moves whole rows, once. Which range a row belongs to depends on its
-key alone, so a lost executor's work can be redone without changing any number.
+key alone, and rows with equal keys are ordered by a hash of the row, so the work of
+a lost executor can be redone without giving any row another number.
 
 A key value holding many rows would fill one range. When the sampled bounds show
 one, the ranges are cut on (key, hash of the row) instead; when whole-row copies
@@ -53,21 +54,26 @@ def dense_key(
     start: int = 0,
     *,
     rows: int | None = None,
+    unique: bool = False,
     single_task_rows: int = SINGLE_TASK_ROWS,
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
 ) -> DataFrame:
     """Append ``name``: ``start`` + the 1-based rank of the row by ``order_by``.
 
-    Rows with equal keys get consecutive numbers in arbitrary order. ``rows`` is the
-    exact row count where the caller has it already.
+    Rows with equal keys get consecutive numbers, in no order to rely on. ``rows`` is
+    the exact row count where the caller has it already. ``unique`` says that no two
+    rows share a key, which saves reading the other columns to tell them apart.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
+    everything = df.columns
     if rows is None:
         rows = df.select(*order).count()
+    tied = df.withColumn(_TIE, F.xxhash64(*everything))
+    settled = order if unique or set(order) == set(everything) else [*order, _TIE]
     if rows <= single_task_rows:
-        rank = F.row_number().over(Window.orderBy(*order))
-        return df.withColumn(name, rank.cast("long") + F.lit(start).cast("long"))
+        rank = F.row_number().over(Window.orderBy(*settled)).cast("long")
+        return tied.withColumn(name, rank + F.lit(start).cast("long")).drop(_TIE)
 
     buckets = min(max(ceil(rows / rows_per_bucket), 2), max_buckets)
     fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / rows)
@@ -75,10 +81,8 @@ def dense_key(
     leading = order[:1]
     bounds = _sample_bounds(df.select(*leading), leading, buckets, fraction)
     if not _repeats(bounds):
-        return _number_ranges(df, order, leading, bounds, name, start)
+        return _number_ranges(tied, settled, leading, bounds, name, start).drop(_TIE)
 
-    everything = df.columns
-    tied = df.withColumn(_TIE, F.xxhash64(*everything))
     finest = [*order, _TIE]
     bounds = _sample_bounds(tied.select(*finest), finest, buckets, fraction)
     if not _repeats(bounds):

@@ -1,6 +1,7 @@
 import random
 from datetime import datetime
 from decimal import Decimal
+from functools import partial
 
 import pytest
 
@@ -151,8 +152,9 @@ def test_rows_without_key_are_left_out_and_reported(spark):
 
 def test_repeated_key_is_refused(spark):
     src = snapshot(spark, (1, "a", 1, "x"), (1, "b", 2, "x"), (2, "b", 2, "x"))
-    with pytest.raises(DuplicateKeyError, match="id 1 has 2 rows"):
-        scd2_merge(None, src, SPEC, DAYS[0])
+    for load in (scd1_load, partial(scd2_merge, None)):
+        with pytest.raises(DuplicateKeyError, match="id 1 has 2 rows"):
+            load(src, SPEC, DAYS[0])
 
 
 def test_parts_add_up_to_the_merge(spark, tmp_path):

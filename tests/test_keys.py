@@ -115,3 +115,22 @@ def test_range_plan_has_one_exchange_and_no_single_partition(spark):
     physical = plan[plan.index("== Physical Plan ==") :]
     assert physical.count("Exchange ") == 1
     assert "SinglePartition" not in physical
+
+
+@pytest.mark.parametrize("single_task_rows", [0, 10_000])
+def test_equal_keys_are_numbered_the_same_way_again(spark, single_task_rows):
+    df = spark.range(2000).selectExpr("id % 50 AS k", "hex(id) AS v")
+    numbered = []
+    for parts in (3, 11):
+        keyed = ranges(df.repartition(parts), "k", single_task_rows=single_task_rows)
+        assert keyed.columns == ["k", "v", "sk"]
+        numbered.append({r.v: r.sk for r in keyed.collect()})
+    assert numbered[0] == numbered[1]
+
+
+def test_unique_keys_leave_other_columns_unread(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id AS k", "hex(id) AS wide").write.parquet(path)
+    keyed = dense_key(spark.read.parquet(path), "k", "sk", unique=True)
+    plan = keyed.select("k", "sk")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:bigint>" in plan
