@@ -84,16 +84,12 @@ def scd2_merge(
     old, new = active.alias("old"), new.alias("new")
     pairs = old.join(new, F.col(f"old.{spec.key}") == F.col(f"new.{spec.key}"), "full")
 
-    versions = F.array_compact(
-        F.array(
-            F.when(
-                F.col(f"old.{spec.sk}").isNotNull(),
-                _old_version(spec, prev, bizdate, overwrite_scd1, at),
-            ),
-            F.when(F.col("new.__new_sk").isNotNull(), _new_version(spec, bizdate, at)),
-        )
+    versions = F.array(
+        _old_version(spec, prev, bizdate, overwrite_scd1, at),
+        _new_version(spec, bizdate, at),
     )
-    merged = pairs.select(F.inline(versions))
+    # A pair without an old or an opened version leaves that one without a key.
+    merged = pairs.select(F.inline(versions)).where(F.col(spec.sk).isNotNull())
     closed_before = prev.where(F.col("is_active") == 0)
     return merged.unionByName(closed_before).withColumn("pt", F.lit(bizdate))
 
