@@ -417,10 +417,6 @@ def _intervals(name: str, source: str, key: str) -> str:
               FROM {source})"""
 
 
-def _history_columns(name: str, source: str) -> str:
-    return f"SELECT * FROM {source}"
-
-
 def _matrix() -> str:
     cells = ", ".join(
         f"max(CASE WHEN dim_name = '{d}' THEN CAST(1 - miss_rate AS DECIMAL(9,6)) END) "

@@ -34,7 +34,8 @@ def dimension_schema(spec: DimSpec) -> StructType:
     columns |= {c: src[c].dataType for c in (spec.key, *spec.attributes)}
     if spec.tracked:
         columns |= {"begin_date": _TEXT, "end_date": _TEXT, "is_active": _FLAG}
-    return _struct(columns | {"etl_insert_time": _TIME, "etl_update_time": _TIME, "pt": _TEXT})
+    columns |= {"etl_insert_time": _TIME, "etl_update_time": _TIME}
+    return _struct(columns | {"pt": _TEXT})
 
 
 def fact_schema(spec: FactSpec) -> StructType:
