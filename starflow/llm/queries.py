@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import quality
+from starflow.llm import quality, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +16,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_files(table(spark, folder, "documents"), path, end_id=2)
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(table(spark, folder, "documents"), path)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.measure(table(spark, folder, "documents"))
 
 
 def llm_queries() -> dict[str, Query]:
-    return {"op10_quality_rules": op10_quality_rules}
+    return {
+        "op8_token_files": op8_token_files,
+        "op9_token_counts": op9_token_counts,
+        "op10_quality_rules": op10_quality_rules,
+    }
