@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import quality, simhash, token_counts, token_files
+from starflow.llm import quality, simhash, substring, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.repeated_words(table(spark, folder, "documents"), window=50)
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, most=2)
 
@@ -36,6 +40,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_simhash": op2_simhash,
         "op8_token_files": op8_token_files,
         "op9_token_counts": op9_token_counts,
