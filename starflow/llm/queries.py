@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import quality, simhash, substring, token_counts, token_files
+from starflow.llm import quality, simhash, substring, suffix, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, most=2)
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.repeated_bytes(table(spark, folder, "documents"), length=50)
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_files.token_files(table(spark, folder, "documents"), path, end_id=2)
@@ -42,6 +46,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_simhash": op2_simhash,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_token_files": op8_token_files,
         "op9_token_counts": op9_token_counts,
         "op10_quality_rules": op10_quality_rules,
