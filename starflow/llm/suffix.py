@@ -7,8 +7,8 @@ packed chunks of documents:
 1. chunks send their distinct minimisers; buckets answer with those that occur in two
    documents, and only text around such ones goes on;
 2. chunks send its runs (consecutive windows of one minimiser, at most 80 bytes), each
-   distinct one once with its least document. A shard sorts the suffixes of all its
-   runs, stores their Burrows-Wheeler transform as runs of equal bytes with suffixes
+   distinct one once with its least document. A shard sorts the suffixes of the runs
+   that share a minimiser with another run, stores their Burrows-Wheeler transform as runs of equal bytes with suffixes
    sampled at both ends of a run, and the least document of every interval of equal
    50-byte prefixes. It then streams the matching statistics of each run through that
    index, and answers for each window whether a smaller document has it;
@@ -102,7 +102,8 @@ class Runs:
         count = np.diff(np.r_[head, len(least)])
         good = inside[head]
         mask = ~np.uint64((1 << (64 - MINIMISER_BITS)) - 1)
-        return [least[head][good] & mask, head[good] + base, count[good], doc[head][good]]
+        # Mixed again: least hashes are small, and leading bits name the bucket.
+        return [mix(least[head][good]) & mask, head[good] + base, count[good], doc[head][good]]
 
     def strings(self, pick: np.ndarray, width: int) -> np.ndarray:
         """Rows of bytes plus one, zero-filled, of the picked runs."""
@@ -266,7 +267,8 @@ def _answer_minimisers(group: pa.Table) -> pa.Table:
 
 
 def _shards(runs: Runs, shared: np.ndarray, buckets: int, width: int) -> Iterator[tuple]:
-    """(bucket, picked runs, distinct strings, place of each run, least document of each)."""
+    """(bucket, picked runs, distinct strings, place of each run, and of each string its
+    least document and minimiser)."""
     pick = np.flatnonzero(ch.in_sorted(runs.value, shared))
     pick = pick[np.argsort(runs.value[pick], kind="stable")]
     for b, s in ch.bucket_slices(runs.value[pick], buckets):
@@ -274,7 +276,9 @@ def _shards(runs: Runs, shared: np.ndarray, buckets: int, width: int) -> Iterato
         distinct, inverse = _distinct_rows(runs.strings(own, width))
         least = np.full(len(distinct), NO_ID, np.int64)
         np.minimum.at(least, inverse, runs.ids[runs.doc[own]])
-        yield b, own, distinct, inverse, least
+        value = np.zeros(len(distinct), np.uint64)
+        value[inverse] = runs.value[own]
+        yield b, own, distinct, inverse, least, value
 
 
 def _shared_of(group: pa.Table) -> tuple[int, pa.Table, np.ndarray]:
@@ -301,11 +305,18 @@ def _match(group: pa.Table, width: int, length: int) -> pa.Table:
     distinct, inverse = _distinct_rows(np.concatenate(strings))
     owner = np.full(len(distinct), NO_ID, np.int64)
     np.minimum.at(owner, inverse, np.concatenate(least))
-    index = RunIndex(distinct, owner, length)
-    known = np.empty((len(distinct), width - length + 1), np.int64)
-    for at in range(0, len(distinct), 1 << 14):
-        part = index.least_documents(distinct[at : at + (1 << 14)])
-        known[at : at + (1 << 14)] = part[:, : width - length + 1]
+    value = np.zeros(len(distinct), np.uint64)
+    value[inverse] = np.concatenate([ch.unpack_plain(x) for x in group.column("value").to_pylist()]).view(np.uint64)
+    # A string alone under its minimiser shares no window with another: its least
+    # document has them all, and only the others go into the index.
+    known = np.repeat(owner[:, None], width - length + 1, axis=1)
+    _, which, count = np.unique(value, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(count[which] > 1)
+    if len(several):
+        index = RunIndex(distinct[several], owner[several], length)
+        for at in range(0, len(several), 1 << 14):
+            part = several[at : at + (1 << 14)]
+            known[part] = index.least_documents(distinct[part])[:, : width - length + 1]
     rows, at = [], 0
     for number, own, low in zip(numbers, strings, least, strict=True):
         smaller = known[inverse[at : at + len(own)]] < low[:, None]
@@ -325,7 +336,7 @@ def repeated_bytes(
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     packed = ch.to_chunks(keyed_text(documents, key, text).withColumn("n_bytes", size), "n_bytes", "byte-chunks")
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
-    first_buckets, second_buckets = ch.buckets_for(total // 16), ch.buckets_for(total // 2)
+    first_buckets, second_buckets = ch.buckets_for(total // 16), ch.buckets_for(total // 4)
     asked = _send_minimisers(packed, length, first_buckets)
     shared = saved(
         asked.groupBy("bucket").applyInArrow(_answer_minimisers, "chunk long, answer binary"),
@@ -343,15 +354,15 @@ def repeated_bytes(
     def send(group: pa.Table) -> pa.Table:
         number, table, own = _shared_of(group)
         rows = [
-            (b, number, zlib.compress(distinct.tobytes(), 1), ch.pack_plain(least))
-            for b, _, distinct, _, least in _shards(Runs(table, length), own, second_buckets, width)
+            (b, number, zlib.compress(distinct.tobytes(), 1), ch.pack_plain(least), ch.pack_plain(value.view(np.int64)))
+            for b, _, distinct, _, least, value in _shards(Runs(table, length), own, second_buckets, width)
         ]
-        names = ["bucket", "chunk", "strings", "least"]
-        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        names = ["bucket", "chunk", "strings", "least", "value"]
+        types = [pa.int32(), pa.int64(), *[pa.binary()] * 3]
         return pa.Table.from_batches([_messages(rows, names, types)])
 
     sent = base.union(one).groupBy("chunk").applyInArrow(
-        send, "bucket int, chunk long, strings binary, least binary"
+        send, "bucket int, chunk long, strings binary, least binary, value binary"
     )
     matched = saved(
         sent.groupBy("bucket").applyInArrow(
@@ -373,7 +384,7 @@ def repeated_bytes(
             if k == 2
         }
         places = width - length + 1
-        for b, picked, distinct, inverse, least in _shards(runs, own, second_buckets, width):
+        for b, picked, distinct, inverse, least, _ in _shards(runs, own, second_buckets, width):
             flags = np.unpackbits(bits[b].reshape(len(distinct), -1), axis=1, count=places).astype(bool)
             # A larger document of this chunk has the whole string from the least one.
             marked = flags[inverse] | (runs.ids[runs.doc[picked]] > least[inverse])[:, None]
