@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import pieces, quality, simhash, substring, suffix, token_counts, token_files
+from starflow.llm import decontaminate, pieces, quality, simhash, substring, suffix, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, most=2)
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.encode_documents(table(spark, folder, "documents"), path)
@@ -51,6 +55,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_simhash": op2_simhash,
+        "op4_decontaminate": op4_decontaminate,
         "op5_sentencepiece": op5_sentencepiece,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_token_files": op8_token_files,

@@ -99,6 +99,25 @@ def windows(units: np.ndarray, width: int) -> np.ndarray:
         size *= 2
 
 
+def hash_documents(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the documents in their order, and each one's word count."""
+    hashes: list[np.ndarray] = []
+    sizes = np.zeros(len(bodies), np.int64)
+    at = 0
+    while at < len(bodies):
+        to, size = at, 0
+        while to < len(bodies) and (to == at or size + len(bodies[to]) <= PIECE_BYTES):
+            size += len(bodies[to]) + 1
+            to += 1
+        data = np.frombuffer(b"\n".join(bodies[at:to]), np.uint8)
+        found, starts = word_hashes(data)
+        ends = np.cumsum([len(t) + 1 for t in bodies[at:to]])
+        sizes[at:to] = np.diff(np.searchsorted(starts, ends), prepend=0)
+        hashes.append(found)
+        at = to
+    return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), sizes
+
+
 class Chunk:
     """The words of a chunk's documents, one after the other, as hashes."""
 
@@ -106,21 +125,7 @@ class Chunk:
         ids = table.column(key).to_pylist()
         self.texts = [t.encode() if t else b"" for t in table.column(text).to_pylist()]
         self.ids = np.array([NO_ID if i is None else i for i in ids], np.int64)
-        hashes: list[np.ndarray] = []
-        self.sizes = np.zeros(len(ids), np.int64)
-        at = 0
-        while at < len(ids):
-            to, size = at, 0
-            while to < len(ids) and (to == at or size + len(self.texts[to]) <= PIECE_BYTES):
-                size += len(self.texts[to]) + 1
-                to += 1
-            data = np.frombuffer(b"\n".join(self.texts[at:to]), np.uint8)
-            found, starts = word_hashes(data)
-            ends = np.cumsum([len(t) + 1 for t in self.texts[at:to]])
-            self.sizes[at:to] = np.diff(np.searchsorted(starts, ends), prepend=0)
-            hashes.append(found)
-            at = to
-        self.words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        self.words, self.sizes = hash_documents(self.texts)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.doc = np.repeat(np.arange(len(ids)), self.sizes)
 

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -34,7 +35,7 @@ def keyed_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def map_batches(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` of a function on one batch."""
 
