@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from starflow.llm import licenses, warc
 from starflow.llm.quality import BASE_MIN_WORDS, BASE_MOST_REPEATED, STOP_FORMS
 
 QUALITY = f"""
@@ -43,5 +44,140 @@ FROM judged
 """
 
 
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    cases = " ".join(f"WHEN p = {_quoted(s)} THEN {_quoted(n)}" for s, n in licenses.known_sentences().items())
+    cases += " " + " ".join(
+        f"WHEN regexp_matches(p, {_quoted(pattern)}) THEN {_quoted(n)}" for n, pattern in licenses.PATTERNS.items()
+    )
+    cuts = [
+        f"SELECT doc_id, {k} AS way, string_split_regex(text, {_quoted(cut)}) AS raw FROM candidates"
+        for k, cut in enumerate((licenses.LINE_CUT, licenses.PARAGRAPH_CUT))
+    ]
+    rules = ", ".join(f"({_quoted(a)}, {_quoted(b)}, {_quoted(chr(92) + 'b' + c)})" for a, b, c in licenses.RULES)
+    return f"""
+WITH candidates AS (
+  SELECT row_number() OVER () AS doc, doc_id, text FROM documents
+  WHERE regexp_matches(text, {_quoted(licenses.FOUND)})
+), cut AS (
+  {' UNION ALL '.join(c.replace('doc_id', 'doc, doc_id') for c in cuts)}
+), pieces AS (
+  SELECT doc, doc_id, way, unnest(raw) AS piece, generate_subscripts(raw, 1) AS spot FROM cut
+), plain AS (
+  SELECT doc, doc_id, way, spot, regexp_replace(
+    lower(regexp_replace(piece, {_quoted(licenses.UNWANTED)}, ' ', 'g')), {_quoted(licenses.EDGES)}, '', 'g') AS p
+  FROM pieces WHERE regexp_matches(piece, {_quoted(licenses.FOUND)})
+), named AS (
+  SELECT doc, doc_id, way, spot, CASE {cases} END AS name FROM plain
+), sequences AS (
+  SELECT doc, doc_id, way, string_agg(name, ' ' ORDER BY spot) || ' ' AS s
+  FROM named WHERE name IS NOT NULL GROUP BY doc, doc_id, way
+), matched AS (
+  SELECT doc, doc_id, license, rule, max(len(regexp_extract_all(s, pattern))) AS n_matches
+  FROM sequences, (VALUES {rules}) AS r(license, rule, pattern) GROUP BY doc, doc_id, license, rule
+)
+SELECT doc_id, license, rule, n_matches FROM matched WHERE n_matches > 0
+"""
+
+
+def _uuid(value: str) -> str:
+    h = f"md5({value})"
+    cut = " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"('<urn:uuid:' || {cut} || '>')"
+
+
+def _unescaped(value: str) -> str:
+    number = f"regexp_extract(lower(x), {_quoted(warc.NUMBER)}, 1)"
+    code = (
+        f"CASE WHEN {number} LIKE 'x%' THEN CAST('0x' || substr({number}, 2) AS INT) ELSE CAST({number} AS INT) END"
+    )
+    made = (
+        f"CASE WHEN {number} = '' THEN '&#' || x ELSE "
+        f"CASE WHEN {code} = 0 OR {code} > 1114111 OR {code} BETWEEN 55296 AND 57343 THEN chr(65533) "
+        f"ELSE chr({code}) END || substr(x, len({number}) + 2) END"
+    )
+    pieces = f"string_split({value}, '&#')"
+    out = (
+        f"CASE WHEN contains({value}, '&#') THEN {pieces}[1] || "
+        f"array_to_string(list_transform({pieces}[2:], lambda x: {made}), '') ELSE {value} END"
+    )
+    for name, character in warc.ENTITIES:
+        out = f"replace({out}, {_quoted(name)}, {_quoted(character)})"
+    return out
+
+
+def _replaced(value: str, *steps: tuple[str, str]) -> str:
+    for pattern, made in steps:
+        value = f"regexp_replace({value}, {_quoted(pattern)}, {made}, 'g')"
+    return value
+
+
+def _lined(value: str) -> str:
+    steps = ((r"[ \t\r\f\x0b]+", "' '"), (r" *\n[ \n]*", "chr(10)"), (r"^\n|\n$", "''"))
+    return f"trim({_replaced(value, *steps)})"
+
+
+def _warc_sql() -> str:
+    crlf = "chr(13) || chr(10)"
+    strip = ((warc.COMMENT, "' '"), (warc.HIDDEN, "' '"), (warc.UNCLOSED, "' '"), (warc.BLOCK, "chr(10)"), (warc.TAG, "''"))
+
+    def header(kind: str, content_type: str, concurrent: str) -> str:
+        lines = [
+            ("WARC-Type", f"'{kind}'"),
+            ("WARC-Record-ID", "record_id"),
+            ("WARC-Refers-To", "refers_to"),
+            *([("WARC-Concurrent-To", concurrent)] if concurrent else []),
+            ("WARC-Target-URI", "target_uri"),
+            ("WARC-Date", "date"),
+            ("WARC-Payload-Digest", "payload_digest"),
+            ("WARC-Block-Digest", "'sha256:' || sha256(block)"),
+            ("Content-Type", f"'{content_type}'"),
+            ("Content-Length", "CAST(strlen(block) AS VARCHAR)"),
+        ]
+        body = " || ".join(f"'{n}: ' || {v} || {crlf}" for n, v in lines)
+        return f"'WARC/1.1' || {crlf} || {body} || {crlf}"
+
+    def records(kind: str, content_type: str, concurrent: str) -> str:
+        return f"""SELECT page_id, '{kind}' AS record_type, record_id, refers_to, target_uri, date, payload_digest,
+    'sha256:' || sha256(block) AS block_digest, strlen(block) AS content_length,
+    {header(kind, content_type, concurrent)} AS header, block FROM {kind}"""
+
+    return f"""
+WITH pages_ AS (
+  SELECT page_id, coalesce(CAST(page_id AS VARCHAR), '') AS page,
+    coalesce(nullif(url, ''), 'urn:page:' || coalesce(CAST(page_id AS VARCHAR), '')) AS target_uri,
+    coalesce(html, '') AS body FROM pages
+), source AS (
+  SELECT page_id, target_uri, '{warc.DATE}' AS date, body, 'sha256:' || sha256(body) AS payload_digest,
+    {_uuid("'response ' || page || ' ' || target_uri || ' sha256:' || sha256(body)")} AS refers_to
+  FROM pages_
+), bodies AS (
+  SELECT *, {_replaced("body", *strip)} AS bare, regexp_extract(body, {_quoted(warc.TITLE)}, 1) AS title FROM source
+), decoded AS (
+  SELECT *, {_unescaped("bare")} AS open_text, {_unescaped("title")} AS open_title FROM bodies
+), conversion AS (
+  SELECT *, {_uuid("'conversion ' || refers_to")} AS record_id, {_lined("open_text")} AS block FROM decoded
+), metadata AS (
+  SELECT *, {_uuid("'metadata ' || refers_to")} AS record_id,
+    'HTTP/1.1 200 OK' || {crlf} || 'Content-Type: text/html; charset=utf-8' || {crlf} || 'Content-Length: '
+    || CAST(strlen(body) AS VARCHAR) || {crlf} || 'title: '
+    || {_replaced(_lined("open_title"), (chr(92) + "n", "' '"))} || {crlf}
+    || array_to_string(list_transform(regexp_extract_all(body, {_quoted(warc.LINK)}, 1),
+       lambda x: 'outlink: ' || x || {crlf}), '') AS block FROM decoded
+)
+{records("metadata", "application/warc-fields", _uuid("'conversion ' || refers_to"))}
+UNION ALL
+{records("conversion", "text/plain; charset=utf-8", "")}
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op10_quality_rules": QUALITY}
+    return {
+        "op3_license_scan": _license_sql(),
+        "op6_warc_derivatives": _warc_sql(),
+        "op10_quality_rules": QUALITY,
+    }

@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.llm import decontaminate, pieces, quality, simhash, substring, suffix, token_counts, token_files
+from starflow.llm import (
+    decontaminate,
+    licenses,
+    pieces,
+    quality,
+    simhash,
+    substring,
+    suffix,
+    token_counts,
+    token_files,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +35,10 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, most=2)
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -33,6 +48,10 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_documents(table(spark, folder, "documents"), path)
 
 
+def op6_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, folder, "pages")))
+
+
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.repeated_bytes(table(spark, folder, "documents"), length=50)
 
@@ -55,8 +74,10 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_simhash": op2_simhash,
+        "op3_license_scan": op3_license_scan,
         "op4_decontaminate": op4_decontaminate,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_warc_derivatives": op6_warc_derivatives,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_token_files": op8_token_files,
         "op9_token_counts": op9_token_counts,
