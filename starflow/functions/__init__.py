@@ -1,16 +1,11 @@
 """Column expressions shared by the operators."""
 
 from starflow.functions.audit import audit_columns, load_time
-from starflow.functions.compare import any_differs, differs, same
-from starflow.functions.search import constant_array, constant_longs, place
+from starflow.functions.compare import any_differs, differs
 
 __all__ = [
     "any_differs",
     "audit_columns",
-    "constant_array",
-    "constant_longs",
     "differs",
     "load_time",
-    "place",
-    "same",
 ]

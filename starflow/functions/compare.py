@@ -20,10 +20,6 @@ def differs(old: Column, new: Column, dtype: DataType) -> Column:
     return ~old.eqNullSafe(new)
 
 
-def same(old: Column, new: Column, dtype: DataType) -> Column:
-    return ~differs(old, new, dtype)
-
-
 def any_differs(
     columns: Iterable[str],
     schema: StructType,

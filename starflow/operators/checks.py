@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starflow.functions import differs
 from starflow.operators.dimensions import OPEN_END
+from starflow.operators.facts import UNKNOWN_SK
 
 RATE = "decimal(9,6)"
 
@@ -54,6 +55,25 @@ def join_miss(
     )
 
 
+def lookup_miss(fact: DataFrame, fact_name: str, keys: dict[str, str]) -> DataFrame:
+    """The same shares for a loaded fact, whose failed lookups hold the unknown key.
+
+    ``keys`` maps dimension names to the fact's surrogate key columns. One pass, no join.
+    """
+    missed = {d: F.count(F.when(F.col(sk) == UNKNOWN_SK, 1)) for d, sk in keys.items()}
+    counted = fact.agg(
+        F.count(F.lit(1)).alias("fact_rows"), *[n.alias(d) for d, n in missed.items()]
+    )
+    each = [
+        F.struct(F.lit(d).alias("dim_name"), F.col("fact_rows"), F.col(d).alias("missed_rows"))
+        for d in keys
+    ]
+    rows = counted.select(F.inline(F.array(*each)))
+    return rows.withColumn("miss_rate", rate("missed_rows", "fact_rows")).select(
+        F.lit(fact_name).alias("fact_name"), "*"
+    )
+
+
 def coverage_matrix(misses: DataFrame, dim_names: list[str]) -> DataFrame:
     """Facts x dimensions with the match rate in each cell; NULL where not joined."""
     return (
@@ -129,10 +149,11 @@ def scd2_intervals(dim: DataFrame, key: str, name: str) -> DataFrame:
     )
     of_key = Window.partitionBy(key)
     in_time = of_key.orderBy("begin_date", "end_date", "is_active")
+    earlier = in_time.rowsBetween(Window.unboundedPreceding, -1)
     active = F.when(F.col("is_active") == 1, F.col("__n")).otherwise(F.lit(0))
     marked = versions.select(
         "*",
-        F.lead("begin_date").over(in_time).alias("next_begin"),
+        F.max("end_date").over(earlier).alias("reached"),
         F.row_number().over(in_time).alias("position"),
         F.sum(active).over(of_key).alias("active_of_key"),
     )
@@ -141,8 +162,10 @@ def scd2_intervals(dim: DataFrame, key: str, name: str) -> DataFrame:
     def versions_where(test: Column) -> Column:
         return F.coalesce(F.sum(F.when(test, F.col("__n"))), F.lit(0))
 
+    # Against the furthest end of all earlier versions, so a long one that holds
+    # several later ones overlaps each of them.
     overlaps = F.col("__n") - 1 + F.when(
-        F.col("next_begin") < F.col("end_date"), 1
+        F.col("begin_date") < F.col("reached"), 1
     ).otherwise(0)
     return marked.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("versions"),
@@ -151,7 +174,7 @@ def scd2_intervals(dim: DataFrame, key: str, name: str) -> DataFrame:
             F.when((F.col("position") == 1) & (F.col("active_of_key") != 1), 1)
         ).alias("keys_not_one_active"),
         F.coalesce(F.sum(overlaps), F.lit(0)).alias("overlaps"),
-        versions_where(F.col("next_begin") > F.col("end_date")).alias("gaps"),
+        F.count(F.when(F.col("begin_date") > F.col("reached"), 1)).alias("gaps"),
         versions_where(is_open != (F.col("is_active") == 1)).alias("open_mismatches"),
         versions_where(F.col("begin_date") >= F.col("end_date")).alias("empty_intervals"),
     ).select(F.lit(name).alias("dim_name"), "*")

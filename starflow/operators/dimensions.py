@@ -30,17 +30,28 @@ class DuplicateKeyError(ValueError):
     """A snapshot holds more than one row for a business key."""
 
 
+class MissingKeyError(ValueError):
+    """A snapshot holds rows without a business key."""
+
+
 def scd1_load(
-    src: DataFrame, spec: DimSpec, bizdate: str, at: datetime | None = None
+    src: DataFrame,
+    spec: DimSpec,
+    bizdate: str,
+    at: datetime | None = None,
+    *,
+    leave_out_unkeyed: bool = False,
 ) -> DataFrame:
     """Replace the dimension by today's snapshot, numbering keys afresh.
 
-    As in a history merge, rows without a key are left out and a repeated key is
-    refused: it would multiply every fact row that refers to it.
+    As in a history merge, only the day's rows of a partitioned source are read, a
+    repeated key is refused (it would multiply every fact row that refers to it), and
+    so is a row without a key unless the caller chose to leave such rows out.
     """
+    src = of_day(src, bizdate)
+    require_one_row_per_key(src, spec.key, leave_out_unkeyed)
     snapshot = _snapshot(src, spec)
-    rows = require_one_row_per_key(snapshot, spec.key)
-    keyed = dense_key(snapshot, spec.key, spec.sk, rows=rows, unique=True)
+    keyed = dense_key(snapshot, spec.key, spec.sk, unique=True)
     return keyed.select(
         spec.sk,
         spec.key,
@@ -58,22 +69,25 @@ def scd2_merge(
     *,
     overwrite_scd1: bool = True,
     at: datetime | None = None,
+    leave_out_unkeyed: bool = False,
 ) -> DataFrame:
     """Today's full copy of a history dimension.
 
     ``prev`` is the latest copy before ``bizdate`` (None on the first load), so
-    loading a day twice gives the same result. Rows of ``src`` without a business
-    key are left out (see :func:`unkeyed_rows`); more than one row for a key is
-    refused.
-
-    Each side is shuffled once, on the business key: the numbered keys of the
-    versions to open join the snapshot first, which keeps that partitioning, and
-    the full outer join with the active versions then reuses it.
+    loading a day twice gives the same result. Of a partitioned ``src`` the day's rows
+    are read. More than one row for a key is refused, and so is a row without one,
+    unless ``leave_out_unkeyed`` (see :func:`unkeyed_rows`).
+
+    Three shuffles on the business key: counts of the keys for the check, key and
+    tracked columns for finding what to open, and whole rows. In the last the numbered
+    keys join the snapshot first, which keeps its partitioning for the full outer join
+    with the active versions.
     """
+    src = of_day(src, bizdate)
+    require_one_row_per_key(src, spec.key, leave_out_unkeyed)
     snapshot = _snapshot(src, spec)
-    rows = require_one_row_per_key(snapshot, spec.key)
     if prev is None:
-        keyed = dense_key(snapshot, spec.key, spec.sk, rows=rows, unique=True)
+        keyed = dense_key(snapshot, spec.key, spec.sk, unique=True)
         return _opened(keyed, spec, bizdate, at)
 
     prev = prev.select(*_version_columns(spec))
@@ -102,7 +116,7 @@ def scd2_new(
     at: datetime | None = None,
 ) -> DataFrame:
     """Only the versions that today's snapshot opens (new and changed keys)."""
-    snapshot = _snapshot(src, spec)
+    snapshot = _snapshot(of_day(src, bizdate), spec)
     if prev is None:
         keyed = dense_key(snapshot, spec.key, spec.sk, unique=True)
     else:
@@ -119,7 +133,7 @@ def scd2_changed(
 ) -> DataFrame:
     """Only the versions that today's snapshot closes."""
     old = scd2_active(prev).alias("old")
-    new = _snapshot(src, spec).alias("new")
+    new = _snapshot(of_day(src, bizdate), spec).alias("new")
     changed = old.join(new, _same_key(spec) & _tracked_differ(spec, prev), "left_semi")
     return changed.select(
         spec.sk,
@@ -156,21 +170,30 @@ def scd2_as_of(dim: DataFrame, day: str) -> DataFrame:
 
 
 def unkeyed_rows(src: DataFrame, spec: DimSpec) -> DataFrame:
-    """Source rows a merge leaves out because they have no business key."""
+    """Source rows that have no business key."""
     return src.where(F.col(spec.key).isNull())
 
 
-def require_one_row_per_key(snapshot: DataFrame, key: str) -> int:
-    """The number of rows; raises when a key occurs twice.
+def of_day(src: DataFrame, bizdate: str) -> DataFrame:
+    """The rows of one day, where the source has a partition column ``pt``."""
+    return src.where(F.col("pt") == bizdate) if "pt" in src.columns else src
+
+
+def require_one_row_per_key(
+    snapshot: DataFrame, key: str, leave_out_unkeyed: bool = False
+) -> None:
+    """Raise when a key occurs twice, or when rows without a key are not allowed.
 
     Reads the key only, and counts repeats map-side before the shuffle.
     """
     per_key = snapshot.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    most = F.max_by(F.struct(key, "__n"), F.col("__n"))
-    rows, worst = per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)), most).first()
-    if worst is not None and worst["__n"] > 1:
+    given = F.col(key).isNotNull()
+    most = F.max_by(F.struct(key, "__n"), F.when(given, F.col("__n")))
+    unkeyed, worst = per_key.agg(F.sum(F.when(~given, F.col("__n"))), most).first()
+    if unkeyed and not leave_out_unkeyed:
+        raise MissingKeyError(f"{unkeyed} rows have no {key}")
+    if worst is not None and worst[key] is not None and worst["__n"] > 1:
         raise DuplicateKeyError(f"{key} {worst[key]} has {worst['__n']} rows")
-    return rows
 
 
 def _version_columns(spec: DimSpec) -> list[str]:

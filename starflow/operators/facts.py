@@ -6,11 +6,12 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType
 
 from starflow.functions import audit_columns
-from starflow.operators.dimensions import scd2_current
+from starflow.operators.dimensions import of_day, scd2_current
 from starflow.operators.keys import dense_key
 from starflow.specs import DimSpec, FactSpec
 
@@ -35,17 +36,18 @@ def load_fact(
     The dimension's current version on ``bizdate`` is looked up. A key that is not
     found becomes ``UNKNOWN_SK`` and clears ``is_valid``; the row stays.
     ``keep`` adds source columns such as the order id. ``event_date`` restricts the
-    load to rows whose date column falls on ``bizdate``. ``surrogate=False`` leaves
-    out the fact's own key, for callers that only aggregate.
+    load to rows whose date column falls on ``bizdate``, as a filter that reaches the
+    files. Of a partitioned source only the day's rows are read. ``surrogate=False``
+    leaves out the fact's own key.
 
     Only (business key, surrogate key) of a dimension reaches the join. Whether it
     is broadcast is decided by its size at run time; a large one is joined by
     shuffle, and a foreign key holding many rows is split by the adaptive
     skew-join rule, which applies to left joins.
     """
-    rows = src
+    rows = of_day(src, bizdate)
     if event_date is not None:
-        rows = rows.where(F.substring(F.col(event_date).cast("string"), 1, 10) == bizdate)
+        rows = rows.where(_falls_on(rows, event_date, bizdate))
     rows = rows.select(*_source_columns(spec, keep))
     if surrogate:
         rows = dense_key(rows, spec.grain, spec.sk)
@@ -74,6 +76,17 @@ def load_fact(
     )
 
 
+def _falls_on(rows: DataFrame, column: str, day: str) -> Column:
+    """Whether a date, a timestamp or an ISO string is on a day."""
+    kind, value = rows.schema[column].dataType, F.col(column)
+    if isinstance(kind, StringType):
+        return value.startswith(day)
+    begin = F.lit(day).cast("date")
+    if isinstance(kind, DateType):
+        return value == begin
+    return (value >= begin.cast(kind)) & (value < F.date_add(begin, 1).cast(kind))
+
+
 def current_slice(dim: DataFrame, bizdate: str) -> DataFrame:
     """One day's rows of a dimension, active versions only where it has versions."""
     if "is_active" in dim.columns:

@@ -1,51 +1,41 @@
 """Dense surrogate keys: ``row_number() over (order by key)`` without one global sort.
 
-A window with no partition puts every row into one task. Beyond a checked row
-count, rows are instead split into key ranges of about equal size:
-
-1. count the rows (key columns only);
-2. sample the keys and take evenly spaced bounds, a list whose size is fixed by
-   ``max_buckets`` and not by the data;
-3. count the rows of each range, and turn the counts into running offsets;
-4. send range *i* to partition *i*, number inside it and add its offset.
-
-Only step 4 moves whole rows, once. Which range a row belongs to depends on its
-key alone, and rows with equal keys are ordered by a hash of the row, so the work of
-a lost executor can be redone without giving any row another number.
-
-A key value holding many rows would fill one range. When the sampled bounds show
-one, the ranges are cut on (key, hash of the row) instead; when whole-row copies
-are what is hot, copies are collapsed to (row, count) before the shuffle, numbered
-by running count and spread out again afterwards.
-
-The input is read several times, so it must give the same rows each time (a table
-scan or anything derived from one deterministically).
+A window with no partition puts every row into one task. Here rows are dealt to key
+ranges by Spark's range partitioning and sorted inside them, whatever the size of the
+table; adaptive execution merges small ranges up to its advisory size in bytes. The
+result is written once with each row's range and place in it, so that numbers cannot
+change when the work of a lost executor is redone. Counts of the ranges then give the
+offsets to add.
+
+Rows with equal keys are ordered by a hash of the row, which also splits a key that
+holds many rows. When a sample shows that whole-row copies are what is hot, copies are
+collapsed to (row, count) before the shuffle, numbered by running count and spread out
+again afterwards.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from itertools import accumulate
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
-from starflow.functions import constant_array, constant_longs, place
+from starflow.sources.storage import materialise
 
-SINGLE_TASK_ROWS = 500_000
-ROWS_PER_BUCKET = 1 << 16
-MAX_BUCKETS = 1 << 14
-SAMPLES_PER_BUCKET = 32
 COPIES_PER_TASK = 1 << 20
+SAMPLED_SHARE = 0.01
+HOT_SHARE = 0.02
+HOT_ROWS = 1_000
 
-_BUCKET = "__bucket"
 _TIE = "__tie"
 _COPIES = "__copies"
+_PLACE = "__place"
+_RANGE = "__range"
 _FIRST = "__first"
 
+# monotonically_increasing_id() is the task number and, in this many low bits, the row.
+_ROW_BITS = 33
+
 
 def dense_key(
     df: DataFrame,
@@ -53,123 +43,76 @@ def dense_key(
     name: str,
     start: int = 0,
     *,
-    rows: int | None = None,
     unique: bool = False,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
+    ranges: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Append ``name``: ``start`` + the 1-based rank of the row by ``order_by``.
 
-    Rows with equal keys get consecutive numbers, in no order to rely on. ``rows`` is
-    the exact row count where the caller has it already. ``unique`` says that no two
-    rows share a key, which saves reading the other columns to tell them apart.
+    Rows with equal keys get consecutive numbers, in no order to rely on. ``unique``
+    says that no two rows share a key, which saves hashing the other columns.
+    ``ranges`` sets the number of ranges instead of the shuffle settings. The written
+    rows go below ``folder`` (see :func:`materialise`).
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     everything = df.columns
-    if rows is None:
-        rows = df.select(*order).count()
-    tied = df.withColumn(_TIE, F.xxhash64(*everything))
-    settled = order if unique or set(order) == set(everything) else [*order, _TIE]
-    if rows <= single_task_rows:
-        rank = F.row_number().over(Window.orderBy(*settled)).cast("long")
-        return tied.withColumn(name, rank + F.lit(start).cast("long")).drop(_TIE)
-
-    buckets = min(max(ceil(rows / rows_per_bucket), 2), max_buckets)
-    fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / rows)
-
-    leading = order[:1]
-    bounds = _sample_bounds(df.select(*leading), leading, buckets, fraction)
-    if not _repeats(bounds):
-        return _number_ranges(tied, settled, leading, bounds, name, start).drop(_TIE)
-
-    finest = [*order, _TIE]
-    bounds = _sample_bounds(tied.select(*finest), finest, buckets, fraction)
-    if not _repeats(bounds):
-        return _number_ranges(tied, finest, finest, bounds, name, start).drop(_TIE)
-
-    collapsed = (
-        df.groupBy(*everything)
-        .agg(F.count(F.lit(1)).alias(_COPIES))
-        .withColumn(_TIE, F.xxhash64(*everything))
+    settled = order if unique else [*order, _TIE]
+    tied = df if unique else df.withColumn(_TIE, F.xxhash64(*everything))
+    hot = not unique and has_hot_copies(tied)
+    if hot:
+        copies = df.groupBy(*everything).agg(F.count(F.lit(1)).alias(_COPIES))
+        tied = copies.withColumn(_TIE, F.xxhash64(*everything))
+
+    dealt = [F.col(c) for c in settled]
+    ranged = (
+        tied.repartitionByRange(*([] if ranges is None else [ranges]), *dealt)
+        .sortWithinPartitions(*settled)
+        .withColumn(_PLACE, F.monotonically_increasing_id())
     )
-    firsts = _number_ranges(
-        collapsed, finest, finest, bounds, _FIRST, start, weight=_COPIES
+    placed = materialise(ranged, folder).withColumn(
+        _RANGE, F.shiftright(_PLACE, _ROW_BITS).cast("int")
     )
-    return _spread_copies(firsts, name, buckets).select(*everything, name)
-
-
-def _sample_bounds(
-    keys: DataFrame, columns: list[str], buckets: int, fraction: float
-) -> list[dict]:
-    """``buckets - 1`` evenly spaced values of a bounded sample, in order."""
-    sample = keys.sample(fraction=fraction, seed=7).agg(
-        F.sort_array(F.collect_list(F.struct(*columns))).alias("s")
+    size = F.sum(_COPIES) if hot else F.count(F.lit(1))
+    # One row for each range, so this window reads as many rows as there were tasks.
+    before = F.sum("__n").over(
+        Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     )
-    pick = F.transform(
-        F.sequence(F.lit(1), F.lit(buckets - 1)),
-        lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(buckets)).cast("int")),
+    offsets = (
+        placed.groupBy(_RANGE)
+        .agg(size.alias("__n"))
+        .select(_RANGE, F.coalesce(before, F.lit(0)).alias("__before"))
     )
-    text = sample.select(F.to_json(F.filter(pick, lambda b: b.isNotNull()))).first()[0]
-    return json.loads(text) if text else []
+    inside = _running_copies() if hot else F.col(_PLACE).bitwiseAND((1 << _ROW_BITS) - 1)
+    number = inside + F.col("__before") + F.lit(start + 1).cast("long")
+    numbered = placed.join(offsets, _RANGE).withColumn(_FIRST if hot else name, number)
+    if hot:
+        numbered = _spread_copies(numbered, name)
+    return numbered.select(*everything, name)
 
 
-def _repeats(bounds: list[dict]) -> bool:
-    return any(a == b for a, b in zip(bounds, bounds[1:]))
+def has_hot_copies(tied: DataFrame) -> bool:
+    """Whether a sample is full of copies of one row. Either answer gives the same
+    numbers; it only decides how copies travel."""
+    counts = tied.select(_TIE).sample(fraction=SAMPLED_SHARE, seed=7).groupBy(_TIE).count()
+    most, total = counts.agg(F.max("count"), F.sum("count")).first()
+    return bool(total) and most * SAMPLED_SHARE**-1 >= HOT_ROWS and most >= HOT_SHARE * total
 
 
-def _number_ranges(
-    df: DataFrame,
-    order: list[str],
-    cut_on: list[str],
-    bounds: list[dict],
-    name: str,
-    start: int,
-    weight: str | None = None,
-) -> DataFrame:
-    kept = [b for i, b in enumerate(bounds) if b and (i == 0 or b != bounds[i - 1])]
-    if len(cut_on) == 1:
-        kind, key = df.schema[cut_on[0]].dataType, F.col(cut_on[0])
-        limits = constant_array([b[cut_on[0]] for b in kept], kind)
-    else:
-        kind = StructType([StructField(c, df.schema[c].dataType) for c in cut_on])
-        key, limits = F.struct(*cut_on), constant_array(kept, kind)
-    placed = place(df, _BUCKET, limits, len(kept), key)
-
-    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counts = {
-        r[_BUCKET]: r["n"]
-        for r in placed.groupBy(_BUCKET).agg(size.alias("n")).collect()
-    }
-    sizes = [counts.get(i, 0) for i in range(len(kept) + 1)]
-    offsets = [start + n for n in accumulate([0, *sizes[:-1]])]
-    offset = F.get(constant_longs(offsets), F.col(_BUCKET))
-
-    inside = Window.partitionBy(_BUCKET).orderBy(*order)
-    return (
-        placed.repartitionById(len(sizes), F.col(_BUCKET))
-        .withColumn(name, _rank(inside, weight) + offset)
-        .drop(_BUCKET)
-    )
-
-
-def _rank(inside, weight: str | None) -> Column:
-    if weight is None:
-        return F.row_number().over(inside).cast("long")
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(weight).over(before), F.lit(0)).cast("long") + F.lit(1)
+def _running_copies() -> Column:
+    """Copies before a row of its range."""
+    earlier = Window.partitionBy(_RANGE).orderBy(_PLACE)
+    before = F.sum(_COPIES).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    return F.coalesce(before, F.lit(0))
 
 
-def _spread_copies(firsts: DataFrame, name: str, tasks: int) -> DataFrame:
-    """One row per copy again: cut each count into blocks, spread, then expand.
-
-    The number of tasks is given, since adaptive coalescing would judge the blocks
-    by their size before they expand.
-    """
+def _spread_copies(firsts: DataFrame, name: str) -> DataFrame:
+    """One row per copy again: cut each count into blocks, deal them out, then expand."""
     block = F.lit(COPIES_PER_TASK).cast("long")
     last = F.col(_FIRST) + F.col(_COPIES) - F.lit(1)
     blocks = firsts.withColumn(
         "__from", F.explode(F.sequence(F.col(_FIRST), last, block))
     ).withColumn("__to", F.least(F.col("__from") + block - F.lit(1), last))
+    tasks = int(firsts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The number is given: by their bytes, adaptive execution would merge the blocks.
     spread = blocks.repartition(tasks, F.col("__from"))
     return spread.withColumn(name, F.explode(F.sequence("__from", "__to")))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starflow.operators.checks import RATE, rate, union_all
@@ -102,6 +102,52 @@ def candidate_keys(df: DataFrame, name: str) -> DataFrame:
     return union_all(exact)
 
 
+def reference_matches(
+    children: Mapping[str, DataFrame],
+    parents: Mapping[str, tuple[DataFrame, str]],
+    references: Sequence[tuple[str, str, str]],
+) -> DataFrame:
+    """:func:`reference_match` of many references (child, foreign key, parent).
+
+    Every table is read once: a child's foreign keys are counted together, and a
+    parent's keys are made distinct once for all that refer to it.
+    """
+    counted, known = [], []
+    for child in dict.fromkeys(c for c, _, _ in references):
+        own = [(fk, p) for c, fk, p in references if c == child]
+        each = [
+            F.struct(
+                F.lit(f"{child}.{fk}").alias("reference"),
+                F.lit(p).alias("parent"),
+                F.col(fk).cast("string").alias("k"),
+            )
+            for fk, p in own
+        ]
+        rows = children[child].select(F.inline(F.array(*each)))
+        counted.append(rows.groupBy("reference", "parent", "k").agg(F.count(F.lit(1)).alias("__n")))
+    for name in dict.fromkeys(p for _, _, p in references):
+        table, key = parents[name]
+        keys = table.select(F.lit(name).alias("parent"), F.col(key).cast("string").alias("k"))
+        known.append(keys.where("k IS NOT NULL").distinct())
+    known_keys = union_all(known).withColumn("__found", F.lit(True))
+    joined = union_all(counted).join(known_keys, ["parent", "k"], "left")
+    given, found = F.col("k").isNotNull(), F.col("__found").isNotNull()
+    totals = joined.groupBy("reference").agg(
+        F.sum("__n").alias("child_rows"),
+        F.coalesce(F.sum(F.when(~given, F.col("__n"))), F.lit(0)).alias("null_rows"),
+        F.coalesce(F.sum(F.when(found, F.col("__n"))), F.lit(0)).alias("matched_rows"),
+        F.count(F.when(given, 1)).alias("distinct_keys"),
+        F.count(F.when(given & ~found, 1)).alias("unmatched_keys"),
+    )
+    return totals.withColumn("match_rate", _match_rate())
+
+
+def _match_rate() -> Column:
+    asked = F.col("child_rows") - F.col("null_rows")
+    share = F.col("matched_rows").cast("double") / asked.cast("double")
+    return F.when(asked > 0, share).cast(RATE)
+
+
 def reference_match(
     child: DataFrame, fk: str, parent: DataFrame, key: str, name: str
 ) -> DataFrame:
@@ -118,8 +164,6 @@ def reference_match(
         F.count(F.when(given, 1)).alias("distinct_keys"),
         F.count(F.when(given & ~found, 1)).alias("unmatched_keys"),
     )
-    asked = F.col("child_rows") - F.col("null_rows")
-    share = F.col("matched_rows").cast("double") / asked.cast("double")
-    return totals.withColumn("match_rate", F.when(asked > 0, share).cast(RATE)).select(
+    return totals.withColumn("match_rate", _match_rate()).select(
         F.lit(name).alias("reference"), "*"
     )

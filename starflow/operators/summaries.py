@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starflow.operators.facts import current_slice
-from starflow.specs import DimSpec, Metric, SummarySpec
+from starflow.specs import DimSpec, FactSpec, Metric, SummarySpec
 
 _AGGREGATES = {
     "sum": F.sum,
@@ -31,8 +31,13 @@ def summarise(
     spec: SummarySpec,
     dim_specs: Mapping[str, DimSpec],
     bizdate: str,
+    fact_specs: Mapping[str, FactSpec],
 ) -> DataFrame:
-    """The summary ``spec`` for one day, keyed by the dimensions' business keys."""
+    """The summary ``spec`` for one day, keyed by the dimensions' business keys.
+
+    Refuses an aggregate that a measure's additivity does not allow.
+    """
+    spec.check(fact_specs)
     sks = [dim_specs[d].sk for d in spec.grain]
     totals = drill_across(facts, spec.metrics, sks, bizdate)
 

@@ -14,9 +14,6 @@ from starflow.plans.schemas import MONEY
 
 DAYS = {1: "2026-07-07", 2: "2026-07-08", 3: "2026-07-09"}
 
-# Tables whose line ids are row numbers over the whole source table.
-NUMBERED_TABLES = ("order_item", "refund_info", "stock_info", "user_coupon")
-
 LINE_ORDER = [
     "l_orderkey",
     "l_linenumber",
@@ -35,14 +32,13 @@ LINE_ORDER = [
 class Bindings:
     """Source tables over one test-data folder, built when asked for.
 
-    ``numbered=False`` skips the row numbers that stand in for missing line ids
-    and uses the order key in their place, for callers that only count them.
+    Row numbers stand in for missing line ids; ``scratch`` is where they are written.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, numbered: bool = True):
+    def __init__(self, spark: SparkSession, folder: str, scratch: str | None = None):
         self.spark = spark
         self.folder = folder
-        self.numbered = numbered
+        self.scratch = scratch
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -240,9 +236,7 @@ class Bindings:
 
     def _lines(self, condition: str, id_name: str) -> DataFrame:
         lines = self.table("lineitem").where(condition)
-        if not self.numbered:
-            return lines.withColumn(id_name, F.col("l_orderkey"))
-        return dense_key(lines, LINE_ORDER, id_name)
+        return dense_key(lines, LINE_ORDER, id_name, folder=self.scratch)
 
     def _with_buyer(self, lines: DataFrame) -> DataFrame:
         buyers = self.table("orders").select(

@@ -406,15 +406,39 @@ def _intervals(name: str, source: str, key: str) -> str:
                count(DISTINCT {key}) AS keys,
                count(DISTINCT {key}) FILTER (WHERE actives <> 1)
                    AS keys_not_one_active,
-               count(*) FILTER (WHERE following < end_date) AS overlaps,
-               count(*) FILTER (WHERE following > end_date) AS gaps,
+               count(*) FILTER (WHERE reaching > 0) AS overlaps,
+               count(*) FILTER (WHERE earlier > 0 AND touching = 0) AS gaps,
                count(*) FILTER (WHERE (end_date = '9999-12-31') <> (is_active = 1))
                    AS open_mismatches,
                count(*) FILTER (WHERE begin_date >= end_date) AS empty_intervals
-        FROM (SELECT *, lead(begin_date) OVER
-                     (PARTITION BY {key} ORDER BY begin_date, end_date) AS following,
-                     sum(is_active) OVER (PARTITION BY {key}) AS actives
-              FROM {source})"""
+        FROM (SELECT a.place, a.{key}, a.begin_date, a.end_date, a.is_active, a.actives,
+                     count(b.place) AS earlier,
+                     count(*) FILTER (WHERE b.end_date > a.begin_date) AS reaching,
+                     count(*) FILTER (WHERE b.end_date >= a.begin_date) AS touching
+              FROM (SELECT *, row_number() OVER placed AS place,
+                           sum(is_active) OVER (PARTITION BY {key}) AS actives
+                    FROM {source} WINDOW placed AS (PARTITION BY {key}
+                         ORDER BY begin_date, end_date, is_active)) a
+              LEFT JOIN (SELECT {key}, end_date, row_number() OVER (PARTITION BY {key}
+                         ORDER BY begin_date, end_date, is_active) AS place
+                         FROM {source}) b
+              ON a.{key} = b.{key} AND b.place < a.place
+              GROUP BY ALL)"""
+
+
+CTES["broken_history"] = """
+    SELECT DISTINCT o_custkey AS user_id,
+           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS begin_date,
+           CAST(CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 7 = 0 THEN 400
+                ELSE o_orderkey % 40 END AS INTEGER) AS VARCHAR) AS end_date,
+           CAST(o_orderkey % 3 = 0 AS INTEGER) AS is_active
+    FROM orders"""
+
+
+def _refreshed(name: str) -> str:
+    """Whether an untracked attribute of version m is not what d had."""
+    spec = DIMS[name]
+    return " OR ".join(f"coalesce(m.{c}, '') <> coalesce(d.{c}, '')" for c in spec.refreshed)
 
 
 def _matrix() -> str:
@@ -479,6 +503,18 @@ def _bodies() -> dict[str, str]:
         "scd2_closed_rows": "SELECT * FROM closed_user_08_k",
         "scd2_opened_rows": "SELECT * FROM opened_user_08_k",
         "scd2_carried_rows": "SELECT * FROM carried_user_08_k",
+        "scd2_audit_times": f"""
+            SELECT m.user_sk, m.user_id, m.is_active,
+                   CASE WHEN d.user_sk IS NULL THEN '{D2} 03:00:00'
+                        ELSE '{D1} 03:00:00' END AS etl_insert_time,
+                   CASE WHEN d.user_sk IS NULL OR m.is_active = 0 OR {_refreshed('user')}
+                        THEN '{D2} 03:00:00' ELSE '{D1} 03:00:00' END AS etl_update_time
+            FROM merged_user_08_r m LEFT JOIN dim_user d ON m.user_sk = d.user_sk""",
+        "dense_key_decimal": """
+            SELECT k, row_number() OVER (ORDER BY k) AS sk FROM (SELECT DISTINCT
+                CAST(CAST(l_orderkey AS HUGEINT) * 1000000000000000000
+                     + l_partkey * 1000 + l_linenumber AS DECIMAL(38,0)) AS k
+                FROM lineitem)""",
         "scd2_current_slice": "SELECT * FROM merged_user_08_r WHERE is_active = 1",
         "scd2_valid_on_day1": f"""
             SELECT * FROM merged_user_09_r
@@ -488,6 +524,27 @@ def _bodies() -> dict[str, str]:
     sql |= {
         "fact_order_detail_with_order": _fact("order_detail", ("order_id",)),
         "published_fact": "SELECT * FROM fact_place_order",
+        "published_ods": " UNION ALL ".join(
+            f"SELECT {', '.join(SOURCES['user_info'].names)}, '{d}' AS pt "
+            f"FROM {_landed('user_info', k)}"
+            for k, d in DAYS.items()
+        ),
+        "published_dim": """
+            SELECT * FROM dim_user UNION ALL BY NAME SELECT * FROM merged_user_08_r
+            UNION ALL BY NAME SELECT * FROM merged_user_09_r""",
+        "published_summary": _summary("trd_user"),
+        "fact_from_many_days": f"""
+            SELECT f.* REPLACE ('{D2}' AS pt, coalesce(d.user_sk, -1) AS user_sk,
+                   CAST(d.user_sk IS NOT NULL AS INTEGER) AS is_valid)
+            FROM fact_payment f JOIN payment_info p ON f.pay_id = p.pay_id
+            LEFT JOIN merged_user_08_r d ON p.user_id = d.user_id AND d.is_active = 1""",
+        "fact_for_event_day": """
+            SELECT * REPLACE (row_number() OVER (ORDER BY order_id) AS place_order_sk,
+                   (SELECT min(order_time)[:10] FROM order_info) AS pt)
+            FROM fact_place_order WHERE order_id IN
+                 (SELECT order_id FROM order_info WHERE order_time[:10] =
+                  (SELECT min(order_time)[:10] FROM order_info))""",
+        "catalog_table": "SELECT * FROM dim_shop",
         "unknown_member": """
             SELECT order_id, user_sk, shop_sk, is_valid
             FROM fact_place_order WHERE is_valid = 0""",
@@ -555,6 +612,7 @@ def _bodies() -> dict[str, str]:
                 _intervals("dim_sku", "merged_sku_08_r", "sku_id"),
             ]
         ),
+        "check_broken_intervals": _intervals("broken", "broken_history", "user_id"),
         "coverage_matrix": _matrix(),
     }
     return sql

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,18 +27,19 @@ from starflow.operators.facts import current_slice, derive_difference, load_fact
 from starflow.operators.keys import dense_key
 from starflow.operators.quality import quality_summary
 from starflow.operators.summaries import daily_average, period_end, summarise
-from starflow.plans.bindings import DAYS, LINE_ORDER, NUMBERED_TABLES, Bindings
+from starflow.plans.bindings import DAYS, LINE_ORDER, Bindings
 from starflow.plans.model import DIMS, FACTS, SUMMARIES
-from starflow.plans.schemas import KEYS, SOURCES
+from starflow.plans.schemas import KEYS, SOURCES, landed_name
 from starflow.plans.tables import table_schema
+from starflow.sources.catalog import add_partition, create_table
 from starflow.sources.landing import land_snapshot, map_columns
 from starflow.sources.storage import (
     FACT_STRIPE_BYTES,
-    materialise,
     publish,
     read_partition,
     read_previous,
-    shared_folder,
+    read_table,
+    run_folder,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,81 +64,93 @@ FACT_SOURCE = {
 
 
 class Retail:
-    """The model's tables over one folder, on one of the three days."""
+    """The model's tables over one folder as a daily run leaves them, up to one day.
 
-    def __init__(
-        self, spark: SparkSession, folder: str, day: int = 1, numbered: bool = True
-    ):
+    Every table is published and read back: landed snapshots, dimensions, facts and
+    summaries, each once, below the run's own folder.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, day: int = 1):
         self.spark = spark
-        self.bindings = Bindings(spark, folder, numbered)
+        self.root = run_folder(spark)
+        self.bindings = Bindings(spark, folder, f"{self.root}/numbered")
         self.day = day
         self.bizdate = DAYS[day]
-        self._dims: dict[str, DataFrame] = {}
+        self._read: dict[tuple, DataFrame] = {}
+
+    def _stored(
+        self,
+        table: str,
+        day: int,
+        build: Callable[[], DataFrame],
+        column: str = "pt",
+        **options,
+    ) -> DataFrame:
+        """One day's partition of a table, built and published when first asked for."""
+        known = (table, day)
+        if known not in self._read:
+            root = f"{self.root}/{table}"
+            publish(build(), root, DAYS[day], column=column, **options)
+            self._read[known] = read_partition(
+                self.spark, root, DAYS[day], column=column, schema=table_schema(table)
+            )
+        return self._read[known]
 
     def landed(self, table: str, day: int | None = None) -> DataFrame:
+        """A landed table as a load reads it."""
         day = day or self.day
-        rows = self.bindings.source(table, day)
-        return land_snapshot(rows, SOURCES[table], DAYS[day])
-
-    def stored(self, table: str) -> DataFrame:
-        """A landed table as a load reads it.
-
-        The row numbers that stand in for missing line ids are costly to repeat, so
-        tables with such ids are written once and read back.
-        """
-        rows = self.landed(table)
-        made_up = self.bindings.numbered and table in NUMBERED_TABLES
-        return materialise(rows) if made_up else rows
-
-    def dim(self, name: str) -> DataFrame:
-        if name not in self._dims:
-            spec = DIMS[name]
-            if spec.tracked:
-                self._dims[name] = self.history(name)
-            else:
-                src = self.landed(DIM_SOURCE[name])
-                self._dims[name] = scd1_load(src, spec, self.bizdate)
-        return self._dims[name]
-
-    def history(self, name: str, overwrite_scd1: bool = True) -> DataFrame:
-        """A history dimension after loading day 1 up to this one.
-
-        Earlier days are published and read back, as a daily load does.
-        """
-        spec, table = DIMS[name], DIM_SOURCE[name]
-        root = f"{shared_folder(self.spark)}/starflow-{uuid.uuid4().hex}/{spec.table}"
-        merged, stored = None, table_schema(spec.table)
-        for day in range(1, self.day + 1):
-            if merged is not None:
-                publish(merged, root, DAYS[day - 1])
-            merged = scd2_merge(
-                read_previous(self.spark, root, DAYS[day], schema=stored),
-                self.landed(table, day),
-                spec,
-                DAYS[day],
-                overwrite_scd1=overwrite_scd1,
-            )
-        return merged
 
-    def previous(self, name: str) -> DataFrame:
-        """The published copy of a history dimension from the day before."""
-        before = Retail(self.spark, self.bindings.folder, self.day - 1)
-        root = f"{shared_folder(self.spark)}/starflow-{uuid.uuid4().hex}/{name}"
-        publish(before.history(name), root, before.bizdate)
-        schema = table_schema(DIMS[name].table)
-        return read_previous(self.spark, root, self.bizdate, schema=schema)
+        def land() -> DataFrame:
+            rows = self.bindings.source(table, day)
+            return land_snapshot(rows, SOURCES[table], DAYS[day])
 
-    def fact(self, name: str, **options) -> DataFrame:
+        return self._stored(landed_name(table), day, land)
+
+    def dim(self, name: str, day: int | None = None) -> DataFrame:
+        """A dimension after the loads of day 1 up to ``day``."""
+        day = day or self.day
+        return self._stored(DIMS[name].table, day, lambda: self.loaded_dim(name, day))
+
+    def loaded_dim(self, name: str, day: int, **options) -> DataFrame:
+        """What a day's load of a dimension gives, before it is published."""
+        spec = DIMS[name]
+        src = self.landed(DIM_SOURCE[name], day)
+        if not spec.tracked:
+            return scd1_load(src, spec, DAYS[day], **options)
+        return scd2_merge(self.previous(name, day), src, spec, DAYS[day], **options)
+
+    def previous(self, name: str, day: int | None = None) -> DataFrame | None:
+        """The published copy of a history dimension from before ``day``."""
+        day, table = day or self.day, DIMS[name].table
+        if day > 1:
+            self.dim(name, day - 1)
+        root = f"{self.root}/{table}"
+        return read_previous(self.spark, root, DAYS[day], schema=table_schema(table))
+
+    def loaded_fact(self, name: str, **options) -> DataFrame:
+        """What the day's load of a fact gives, before it is published."""
         spec = FACTS[name]
         dims = {d: self.dim(d) for d, _ in spec.lookups}
-        src = self.stored(FACT_SOURCE[name])
+        src = self.landed(FACT_SOURCE[name])
         return load_fact(src, dims, spec, DIMS, self.bizdate, **options)
 
+    def fact(self, name: str) -> DataFrame:
+        return self._stored(
+            FACTS[name].table,
+            self.day,
+            lambda: self.loaded_fact(name),
+            stripe_bytes=FACT_STRIPE_BYTES,
+        )
+
     def summary(self, name: str) -> DataFrame:
         spec = SUMMARIES[name]
-        facts = {f: self.fact(f, surrogate=False) for f in spec.facts}
-        dims = {d: self.dim(d) for d in spec.grain}
-        return summarise(facts, dims, spec, DIMS, self.bizdate)
+
+        def build() -> DataFrame:
+            facts = {f: self.fact(f) for f in spec.facts}
+            dims = {d: self.dim(d) for d in spec.grain}
+            return summarise(facts, dims, spec, DIMS, self.bizdate, FACTS)
+
+        return self._stored(spec.table, self.day, build, column="dt")
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -156,17 +170,16 @@ def _fact(name: str, spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _quality(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    retail = Retail(spark, folder, numbered=False)
-    fact = retail.fact(name, surrogate=False)
-    return quality_summary(fact, FACTS[name], retail.bizdate)
+    retail = Retail(spark, folder)
+    return quality_summary(retail.fact(name), FACTS[name], retail.bizdate)
 
 
 def _summary(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return Retail(spark, folder, numbered=False).summary(name)
+    return Retail(spark, folder).summary(name)
 
 
 def land_all_counts(spark: SparkSession, folder: str) -> DataFrame:
-    retail = Retail(spark, folder, numbered=False)
+    retail = Retail(spark, folder)
     return profiling.row_counts({t: retail.landed(t) for t in SOURCES})
 
 
@@ -183,7 +196,7 @@ def dense_surrogate_key(spark: SparkSession, folder: str) -> DataFrame:
 def dense_key_by_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """The range path whatever the table's size, on a many-column order."""
     lines = Bindings(spark, folder).table("lineitem").select(*LINE_ORDER)
-    keyed = dense_key(lines, LINE_ORDER, "line_sk", single_task_rows=0)
+    keyed = dense_key(lines, LINE_ORDER, "line_sk")
     return keyed.select("line_sk", "l_orderkey", "l_linenumber", "l_partkey")
 
 
@@ -195,7 +208,8 @@ def dense_key_appended(spark: SparkSession, folder: str) -> DataFrame:
 
 def scd2_as_written(spark: SparkSession, folder: str) -> DataFrame:
     """Without the refresh of untracked attributes on unchanged versions."""
-    return _plain(Retail(spark, folder, 2).history("user", overwrite_scd1=False))
+    day2 = Retail(spark, folder, 2)
+    return _plain(day2.loaded_dim("user", 2, overwrite_scd1=False))
 
 
 def scd2_closed_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -219,25 +233,25 @@ def scd2_carried_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def scd2_current_slice(spark: SparkSession, folder: str) -> DataFrame:
     day2 = Retail(spark, folder, 2)
-    return _plain(scd2_current(day2.history("user"), day2.bizdate))
+    return _plain(scd2_current(day2.dim("user"), day2.bizdate))
 
 
 def scd2_valid_on_day1(spark: SparkSession, folder: str) -> DataFrame:
     """Versions valid on day 1, taken from the history after day 3."""
-    return _plain(scd2_as_of(Retail(spark, folder, 3).history("user"), DAYS[1]))
+    return _plain(scd2_as_of(Retail(spark, folder, 3).dim("user"), DAYS[1]))
 
 
 def fact_order_detail_with_order(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(Retail(spark, folder).fact("order_detail", keep=("order_id",)))
+    return _plain(Retail(spark, folder).loaded_fact("order_detail", keep=("order_id",)))
 
 
 def unknown_member(spark: SparkSession, folder: str) -> DataFrame:
-    fact = Retail(spark, folder).fact("place_order", surrogate=False)
+    fact = Retail(spark, folder).fact("place_order")
     return fact.where("is_valid = 0").select("order_id", "user_sk", "shop_sk", "is_valid")
 
 
 def derived_discount(spark: SparkSession, folder: str) -> DataFrame:
-    fact = Retail(spark, folder).fact("place_order", surrogate=False)
+    fact = Retail(spark, folder).fact("place_order")
     derived = derive_difference(fact, "total_amount", "pay_amount", "derived")
     agrees = (F.col("derived") == F.col("discount_amount")).cast("int")
     return derived.select("order_id", "discount_amount", "derived", agrees.alias("agrees"))
@@ -249,12 +263,12 @@ def stock_period_end(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stock_daily_average(spark: SparkSession, folder: str) -> DataFrame:
-    stock = Retail(spark, folder, numbered=False).landed("stock_info")
+    stock = Retail(spark, folder).landed("stock_info")
     return daily_average(stock, ["shop_id", "sku_id"], "stock_num", "update_time")
 
 
 def _sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    bindings = Bindings(spark, folder, numbered=False)
+    bindings = Bindings(spark, folder)
     return {t: bindings.source(t, 2) for t in SOURCES}
 
 
@@ -302,20 +316,14 @@ def profile_fk_inclusion(spark: SparkSession, folder: str) -> DataFrame:
         ("user_coupon", "user_id", "user_info"),
         ("user_coupon", "coupon_id", "coupon_info"),
     )
-    return checks.union_all(
-        [
-            profiling.reference_match(
-                s[child], fk, s[parent], KEYS[parent], f"{child}.{fk}"
-            )
-            for child, fk, parent in references
-        ]
-    )
+    parents = {p: (s[p], KEYS[p]) for _, _, p in references}
+    return profiling.reference_matches(s, parents, references)
 
 
 def check_grain_unique(spark: SparkSession, folder: str) -> DataFrame:
     retail = Retail(spark, folder)
     loaded = [
-        checks.grain_unique(retail.fact(f.name, surrogate=False), [f.grain], f.name)
+        checks.grain_unique(retail.fact(f.name), [f.grain], f.name)
         for f in FACTS.values()
     ]
     lines = retail.bindings.table("lineitem")
@@ -329,19 +337,13 @@ def check_repeated_grain(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_join_miss(spark: SparkSession, folder: str) -> DataFrame:
-    retail = Retail(spark, folder, numbered=False)
+    retail = Retail(spark, folder)
     return checks.union_all(
         [
-            checks.join_miss(
-                retail.landed(FACT_SOURCE[f.name]),
-                fk,
-                current_slice(retail.dim(d), retail.bizdate),
-                DIMS[d].key,
-                f.name,
-                d,
+            checks.lookup_miss(
+                retail.fact(f.name), f.name, {d: DIMS[d].sk for d, _ in f.lookups}
             )
             for f in FACTS.values()
-            for d, fk in f.lookups
         ]
     )
 
@@ -351,8 +353,8 @@ def coverage_matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_conformed_attr(spark: SparkSession, folder: str) -> DataFrame:
-    retail = Retail(spark, folder, numbered=False)
-    fact = retail.fact("order_detail", surrogate=False)
+    retail = Retail(spark, folder)
+    fact = retail.fact("order_detail")
     dim = current_slice(retail.dim("sku"), retail.bizdate)
     return checks.conformed_attribute(
         fact, "sku_sk", "sku_name", dim, "sku_sk", "sku_name"
@@ -365,7 +367,7 @@ def check_one_to_one(spark: SparkSession, folder: str) -> DataFrame:
         (d.table, DIM_SOURCE[d.name], current_slice(retail.dim(d.name), retail.bizdate))
         for d in DIMS.values()
     ] + [
-        (f.table, FACT_SOURCE[f.name], retail.fact(f.name, surrogate=False))
+        (f.table, FACT_SOURCE[f.name], retail.fact(f.name))
         for f in FACTS.values()
     ]
     return checks.union_all(
@@ -377,8 +379,8 @@ def check_one_to_one(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_scd2_intervals(spark: SparkSession, folder: str) -> DataFrame:
-    users = Retail(spark, folder, 3).history("user")
-    articles = Retail(spark, folder, 2).history("sku")
+    users = Retail(spark, folder, 3).dim("user")
+    articles = Retail(spark, folder, 2).dim("sku")
     return checks.union_all(
         [
             checks.scd2_intervals(users, "user_id", "dim_user"),
@@ -390,13 +392,115 @@ def check_scd2_intervals(spark: SparkSession, folder: str) -> DataFrame:
 def published_fact(spark: SparkSession, folder: str) -> DataFrame:
     """A fact written twice for one day and read back: a rerun replaces the day."""
     retail = Retail(spark, folder)
-    root = f"{shared_folder(spark)}/starflow-{uuid.uuid4().hex}/place_order"
+    root = f"{retail.root}/place_order"
     for _ in range(2):
-        fact = retail.fact("place_order")
+        fact = retail.loaded_fact("place_order")
         publish(fact, root, retail.bizdate, stripe_bytes=FACT_STRIPE_BYTES)
     return _plain(read_partition(spark, root, retail.bizdate))
 
 
+def published_ods(spark: SparkSession, folder: str) -> DataFrame:
+    """A landed table over three days, read back as one partitioned table."""
+    retail = Retail(spark, folder)
+    for day in DAYS:
+        retail.landed("user_info", day)
+    name = landed_name("user_info")
+    return _plain(read_table(spark, f"{retail.root}/{name}", table_schema(name)))
+
+
+def published_dim(spark: SparkSession, folder: str) -> DataFrame:
+    """A history dimension over three daily copies, read back as one table."""
+    retail = Retail(spark, folder, 3)
+    retail.dim("user")
+    name = DIMS["user"].table
+    return _plain(read_table(spark, f"{retail.root}/{name}", table_schema(name)))
+
+
+def published_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """A summary read back from its table by the day column ``dt``."""
+    retail = Retail(spark, folder)
+    retail.summary("trd_user")
+    name = SUMMARIES["trd_user"].table
+    table = read_table(spark, f"{retail.root}/{name}", table_schema(name))
+    return table.where(F.col("dt") == retail.bizdate)
+
+
+def fact_from_many_days(spark: SparkSession, folder: str) -> DataFrame:
+    """A load from a source table that holds the day before as well."""
+    retail = Retail(spark, folder, 2)
+    for day in (1, 2):
+        retail.landed("payment_info", day)
+    name = landed_name("payment_info")
+    src = read_table(spark, f"{retail.root}/{name}", table_schema(name))
+    dims = {"user": retail.dim("user")}
+    return _plain(load_fact(src, dims, FACTS["payment"], DIMS, retail.bizdate))
+
+
+def fact_for_event_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Only the orders placed on one day, of a cumulative source."""
+    retail = Retail(spark, folder)
+    src = retail.landed("order_info")
+    day = src.agg(F.min("order_time")).first()[0][:10]
+    events = src.withColumn("pt", F.lit(day))
+    dims = {d: retail.dim(d).withColumn("pt", F.lit(day)) for d in ("user", "shop")}
+    fact = load_fact(
+        events, dims, FACTS["place_order"], DIMS, day, event_date="order_time"
+    )
+    return _plain(fact)
+
+
+def catalog_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A published dimension asked for as a catalog table."""
+    retail = Retail(spark, folder)
+    retail.dim("shop")
+    table = DIMS["shop"].table
+    name = f"starflow_{uuid.uuid4().hex}"
+    create_table(spark, name, table_schema(table), f"{retail.root}/{table}")
+    add_partition(spark, name, retail.bizdate)
+    return _plain(spark.sql(f"SELECT * FROM {name} WHERE pt = '{retail.bizdate}'"))
+
+
+def scd2_audit_times(spark: SparkSession, folder: str) -> DataFrame:
+    """When each version of day 2 was inserted and last changed, for fixed load times."""
+    retail = Retail(spark, folder, 2)
+    spec, root = DIMS["user"], f"{retail.root}/audited"
+    for day, at in ((1, datetime(2026, 7, 7, 3)), (2, datetime(2026, 7, 8, 3))):
+        prev = read_previous(spark, root, DAYS[day], schema=table_schema(spec.table))
+        merged = scd2_merge(prev, retail.landed("user_info", day), spec, DAYS[day], at=at)
+        publish(merged, root, DAYS[day])
+    rows = read_partition(spark, root, DAYS[2])
+    times = [
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+        for c in ("etl_insert_time", "etl_update_time")
+    ]
+    return rows.select("user_sk", "user_id", "is_active", *times)
+
+
+def dense_key_decimal(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers by a decimal key that no double can hold."""
+    lines = Bindings(spark, folder).table("lineitem")
+    long = (
+        F.col("l_orderkey").cast("decimal(38,0)") * F.lit(10**9) * F.lit(10**9)
+        + F.col("l_partkey") * F.lit(1000)
+        + F.col("l_linenumber")
+    ).cast("decimal(38,0)")
+    return dense_key(lines.select(long.alias("k")).distinct(), "k", "sk", unique=True)
+
+
+def check_broken_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """The interval rules over a history with nested, touching and missing stretches."""
+    orders = Bindings(spark, folder).table("orders")
+    begin = F.col("o_orderdate").cast("date")
+    nested = F.when(F.col("o_orderkey") % 7 == 0, 400).otherwise(F.col("o_orderkey") % 40)
+    history = orders.select(
+        F.col("o_custkey").alias("user_id"),
+        begin.cast("string").alias("begin_date"),
+        F.date_add(begin, nested.cast("int")).cast("string").alias("end_date"),
+        (F.col("o_orderkey") % 3 == 0).cast("int").alias("is_active"),
+    ).distinct()
+    return checks.scd2_intervals(history, "user_id", "broken")
+
+
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {"land_all_counts": land_all_counts}
     found |= {f"land_{t}": partial(_land, t) for t in SOURCES}
@@ -418,11 +522,19 @@ def all_queries() -> dict[str, Query]:
         "scd2_carried_rows": scd2_carried_rows,
         "scd2_current_slice": scd2_current_slice,
         "scd2_valid_on_day1": scd2_valid_on_day1,
+        "scd2_audit_times": scd2_audit_times,
+        "dense_key_decimal": dense_key_decimal,
     }
     found |= {f"fact_{f}": partial(_fact, f) for f in FACTS}
     found |= {
         "fact_order_detail_with_order": fact_order_detail_with_order,
         "published_fact": published_fact,
+        "published_ods": published_ods,
+        "published_dim": published_dim,
+        "published_summary": published_summary,
+        "fact_from_many_days": fact_from_many_days,
+        "fact_for_event_day": fact_for_event_day,
+        "catalog_table": catalog_table,
         "unknown_member": unknown_member,
         "derived_discount": derived_discount,
     }
@@ -442,6 +554,7 @@ def all_queries() -> dict[str, Query]:
         "check_conformed_attr": check_conformed_attr,
         "check_one_to_one": check_one_to_one,
         "check_scd2_intervals": check_scd2_intervals,
+        "check_broken_intervals": check_broken_intervals,
         "coverage_matrix": coverage_matrix,
     }
     return found

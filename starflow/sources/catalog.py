@@ -21,6 +21,14 @@ def create_table(
     )
 
 
+def add_partition(
+    spark: SparkSession, name: str, day: str, column: str = "pt"
+) -> None:
+    """Make one published day visible to SQL; a day already there is read afresh."""
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (`{column}`='{day}')")
+    spark.catalog.refreshTable(name)
+
+
 def refresh_partitions(spark: SparkSession, name: str) -> None:
-    """Make days published since the last call visible to SQL."""
+    """Make every day present visible to SQL, by listing them all."""
     spark.catalog.recoverPartitions(name)

@@ -5,8 +5,10 @@ The driver jar of the database has to be on the session's class path.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,16 +98,30 @@ def read_jdbc(
     table: str,
     split_on: str | None = None,
     splits: int = 32,
+    *,
+    predicates: Sequence[str] = (),
+    unsplit: bool = False,
 ) -> DataFrame:
-    """One table, read as ``splits`` ranges of the numeric column ``split_on``.
+    """One table, read by several tasks.
 
-    The ranges come from the column's minimum and maximum, asked of the database.
-    Filters and column selections on the result are pushed to it.
+    ``split_on`` names a number, date or timestamp column, read as ``splits`` ranges
+    between its minimum and maximum, asked of the database. ``predicates`` gives one
+    condition a task instead (see :func:`hash_predicates` for text keys). A read by a
+    single task must be chosen with ``unsplit``. Filters and column selections on the
+    result are pushed to the database.
     """
+    if split_on is None and not predicates and not unsplit:
+        raise ValueError("give split_on or predicates, or choose unsplit")
+
     def load(**options: str) -> DataFrame:
         reader = spark.read.format("jdbc").option("fetchsize", FETCH_ROWS)
         return reader.options(**db.options(), **options).load()
 
+    if predicates:
+        options = {"fetchsize": FETCH_ROWS, **db.options()}
+        url = options.pop("url")
+        named = {k: str(v) for k, v in options.items()}
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=named)
     if split_on is None:
         return load(dbtable=table)
     ends = f"SELECT MIN({split_on}) AS lo, MAX({split_on}) AS hi FROM {table}"
@@ -115,13 +131,44 @@ def read_jdbc(
     return load(**range_options(table, split_on, low, high, splits))
 
 
+# A database's own hash of a text column.
+HASHES = {
+    "mysql": "MOD(CRC32({column}), {n})",
+    "postgresql": "MOD(ABS(HASHTEXT(CAST({column} AS TEXT))), {n})",
+    "oracle": "ORA_HASH({column}, {n} - 1)",
+    "sqlserver": "ABS(CHECKSUM({column})) % {n}",
+}
+
+
+def hash_predicates(kind: str, column: str, splits: int) -> list[str]:
+    """Conditions that deal rows out by the hash of a column; nulls go to the first."""
+    if kind not in HASHES:
+        raise ValueError(f"{kind} has no hash function to split on")
+    value = HASHES[kind].format(column=column, n=splits)
+    rest = [f"{value} = {i}" for i in range(splits)]
+    return [f"{rest[0]} OR {column} IS NULL", *rest[1:]]
+
+
 def range_options(
-    table: str, split_on: str, low: int, high: int, splits: int
+    table: str,
+    split_on: str,
+    low: int | Decimal | date,
+    high: int | Decimal | date,
+    splits: int,
 ) -> dict[str, str]:
+    """Options of a ranged read; the last range includes the highest value."""
+    if isinstance(low, datetime):
+        first, last = str(low), str(high + timedelta(seconds=1))
+    elif isinstance(low, date):
+        first, last = str(low), str(high + timedelta(days=1))
+    elif isinstance(low, int | float | Decimal):
+        first, last = str(int(low)), str(int(high) + 1)
+    else:
+        raise TypeError(f"{split_on} is no number or time: use hash_predicates")
     return {
         "dbtable": table,
         "partitionColumn": split_on,
-        "lowerBound": str(int(low)),
-        "upperBound": str(int(high) + 1),
+        "lowerBound": first,
+        "upperBound": last,
         "numPartitions": str(splits),
     }

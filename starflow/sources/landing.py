@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from starflow.functions import load_time
 
@@ -17,19 +17,34 @@ def land_snapshot(
     """Source columns cast to ``schema``, stamped with load time and day.
 
     A column missing from the source is refused, and so is a value its type cannot
-    hold (the session's ANSI mode raises). Extra source columns are left out.
+    hold, whatever the session's ANSI setting. Extra source columns are left out.
     """
     missing = [f.name for f in schema.fields if f.name not in src.columns]
     if missing:
         raise ValueError(f"source lacks columns {missing}")
     stamp = F.date_format(load_time(at), "yyyy-MM-dd HH:mm:ss")
     return src.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
+        *[_kept(src, f).alias(f.name) for f in schema.fields],
         stamp.alias("etl_time"),
         F.lit(bizdate).alias("pt"),
     )
 
 
+def _kept(src: DataFrame, target: StructField) -> Column:
+    """The column as its declared type; a value that would be lost raises."""
+    value = F.col(target.name)
+    if src.schema[target.name].dataType == target.dataType:
+        return value
+    cast = value.try_cast(target.dataType)
+    kind = target.dataType.simpleString()
+    told = F.concat(
+        F.lit(f"column {target.name} cannot hold as {kind} the value "),
+        value.cast("string"),
+    )
+    lost = value.isNotNull() & cast.isNull()
+    return F.when(lost, F.raise_error(told)).otherwise(cast)
+
+
 def map_columns(src: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Select and rename by a target -> source mapping."""
     return src.select(*[F.col(s).alias(t) for t, s in mapping.items()])

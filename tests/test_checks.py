@@ -110,3 +110,44 @@ def test_reference_match(spark):
     assert (row.child_rows, row.null_rows, row.matched_rows) == (4, 1, 2)
     assert (row.distinct_keys, row.unmatched_keys) == (2, 1)
     assert row.match_rate == Decimal("0.666667")
+
+
+def test_references_together_equal_references_alone(spark):
+    child = spark.createDataFrame([(1, 5), (1, None), (2, 9), (None, 5)], "a int, b int")
+    parent = spark.createDataFrame([(1,), (1,), (5,)], "id int")
+    other = spark.createDataFrame([(9,)], "id int")
+    references = (("c", "a", "p"), ("c", "b", "p"), ("c2", "b", "o"))
+    got = profiling.reference_matches(
+        {"c": child, "c2": child}, {"p": (parent, "id"), "o": (other, "id")}, references
+    )
+    want = [
+        profiling.reference_match(child, fk, {"p": parent, "o": other}[p], "id", f"{c}.{fk}").first()
+        for c, fk, p in references
+    ]
+    assert sorted(map(tuple, got.collect())) == sorted(
+        tuple(r[c] for c in got.columns) for r in want
+    )
+
+
+def test_failed_lookups_of_a_loaded_fact(spark):
+    fact = spark.createDataFrame([(1, -1), (-1, -1), (2, 3)], "user_sk long, shop_sk long")
+    rows = checks.lookup_miss(fact, "f", {"user": "user_sk", "shop": "shop_sk"}).collect()
+    assert {(r.dim_name, r.fact_rows, r.missed_rows, r.miss_rate) for r in rows} == {
+        ("user", 3, 1, Decimal("0.333333")),
+        ("shop", 3, 2, Decimal("0.666667")),
+    }
+
+
+def test_nested_intervals_overlap_each_time(spark):
+    history = spark.createDataFrame(
+        [
+            (1, "2026-01-01", "9999-12-31", 1),
+            (1, "2026-02-01", "2026-02-05", 0),
+            (1, "2026-03-01", "2026-03-05", 0),
+            (2, "2026-01-01", "2026-01-10", 0),
+            (2, "2026-01-12", "9999-12-31", 1),
+        ],
+        "id int, begin_date string, end_date string, is_active int",
+    )
+    row = checks.scd2_intervals(history, "id", "d").first()
+    assert (row.overlaps, row.gaps) == (2, 1)

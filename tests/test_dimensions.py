@@ -9,6 +9,7 @@ from starflow.operators.checks import scd2_intervals
 from starflow.operators.dimensions import (
     OPEN_END,
     DuplicateKeyError,
+    MissingKeyError,
     scd1_load,
     scd2_as_of,
     scd2_carry,
@@ -144,9 +145,12 @@ def test_update_time_moves_only_with_the_row(spark, tmp_path):
     }
 
 
-def test_rows_without_key_are_left_out_and_reported(spark):
+def test_rows_without_key_are_refused_or_left_out_by_choice(spark):
     src = snapshot(spark, (None, "a", 1, "x"), (1, "b", 1, "x"))
-    assert scd2_merge(None, src, SPEC, DAYS[0]).count() == 1
+    for load in (scd1_load, partial(scd2_merge, None)):
+        with pytest.raises(MissingKeyError, match="1 rows have no id"):
+            load(src, SPEC, DAYS[0])
+        assert load(src, SPEC, DAYS[0], leave_out_unkeyed=True).count() == 1
     assert [r.label for r in unkeyed_rows(src, SPEC).collect()] == ["a"]
 
 

@@ -118,6 +118,41 @@ def test_event_date_and_kept_columns(spark, dims):
     assert fact.first().etl_insert_time == datetime(2026, 1, 1)
 
 
+def test_event_date_reaches_the_files(spark, dims, tmp_path):
+    spec = FactSpec("thing", "dwd_thing", "app", "id", (("user", "user_id"),))
+    for kind, pushed in (
+        ("string", "StringStartsWith(at,2026-01-01)"),
+        ("date", "EqualTo(at,2026-01-01)"),
+        ("timestamp", "LessThan(at,2026-01-02"),
+    ):
+        path = str(tmp_path / kind)
+        days = ["2025-12-31 23:59:59", "2026-01-01 00:00:00", "2026-01-01 23:59:59", "2026-01-02 00:00:00"]
+        rows = spark.createDataFrame([(i, 10, d) for i, d in enumerate(days)], "id long, user_id long, at string")
+        rows.withColumn("at", F.col("at").cast(kind)).write.parquet(path)
+        src = spark.read.parquet(path)
+        fact = load_fact(src, dims, spec, DIMS, DAY, event_date="at", surrogate=False)
+        assert {r.id for r in fact.collect()} == {1, 2}
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert pushed in plan.replace("[", "(").replace(", ", ",") or pushed in plan
+
+
+def test_only_the_day_of_a_partitioned_source_is_loaded(spark, dims):
+    today = orders(spark).withColumn("pt", F.lit(DAY))
+    both = today.unionByName(orders(spark).withColumn("pt", F.lit("2025-12-31")))
+    fact = load_fact(both, dims, FACTS["place_order"], DIMS, DAY)
+    assert fact.count() == orders(spark).count()
+    users = table(spark, "user_info", {"user_id": 1}).withColumn("pt", F.lit("2025-12-31"))
+    assert scd1_load(users, DIMS["user"], DAY).count() == 0
+
+
+def test_wrong_user_specs_are_refused_at_use(spark, dims):
+    spec = SummarySpec(
+        "bad", "dws_bad", ("sku",), (Metric("m", "inventory_snapshot", "stock_num", "sum", "bigint"),)
+    )
+    with pytest.raises(ValueError, match="must not be summed"):
+        summarise({}, dims, spec, DIMS, DAY, FACTS)
+
+
 def test_derived_difference(spark):
     got = derive_difference(orders(spark), "total_amount", "pay_amount", "d").collect()
     assert [r.d for r in got] == [Decimal(10 + i) for i in range(4)]
@@ -150,7 +185,7 @@ def test_factless_fact(spark, dims):
         "total_records": 3,
         "valid_records": 2,
     }
-    got = summarise({"coupon_usage": fact}, dims, SUMMARIES["mkt_coupon"], DIMS, DAY)
+    got = summarise({"coupon_usage": fact}, dims, SUMMARIES["mkt_coupon"], DIMS, DAY, FACTS)
     assert [(r.coupon_id, r.coupon_name, r.coupon_use_cnt) for r in got.collect()] == [
         (3, "c3", 2)
     ]
@@ -171,7 +206,7 @@ def test_drill_across_with_a_missing_fact(spark, dims):
     facts = {
         f: load_fact(s, dims, FACTS[f], DIMS, DAY) for f, s in sources.items()
     }
-    got = summarise(facts, dims, SUMMARIES["trd_user"], DIMS, DAY)
+    got = summarise(facts, dims, SUMMARIES["trd_user"], DIMS, DAY, FACTS)
     rows = {r.user_id: r for r in got.collect()}
     assert set(rows) == {10, 20}
     assert (rows[10].order_cnt, rows[10].total_amount_sum) == (2, 203)
@@ -184,7 +219,7 @@ def test_drill_across_with_a_missing_fact(spark, dims):
 
 def test_summary_total_equals_valid_fact_total(spark, dims):
     fact = load_fact(orders(spark), dims, FACTS["place_order"], DIMS, DAY)
-    got = summarise({"place_order": fact}, dims, SUMMARIES["trd_shop"], DIMS, DAY)
+    got = summarise({"place_order": fact}, dims, SUMMARIES["trd_shop"], DIMS, DAY, FACTS)
     total = fact.where("is_valid = 1").agg(F.sum("total_amount")).first()[0]
     assert got.agg(F.sum("total_amount_sum")).first()[0] == total
 
@@ -194,7 +229,7 @@ def test_summary_joins_after_one_shuffle(spark, dims):
     loaded = spark.createDataFrame(fact.collect(), fact.schema)
     shops = spark.createDataFrame(dims["shop"].collect(), dims["shop"].schema)
     got = summarise(
-        {"place_order": loaded}, {"shop": shops}, SUMMARIES["trd_shop"], DIMS, DAY
+        {"place_order": loaded}, {"shop": shops}, SUMMARIES["trd_shop"], DIMS, DAY, FACTS
     )
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate")

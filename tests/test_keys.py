@@ -10,8 +10,13 @@ from starflow.operators.keys import dense_key
 
 
 def ranges(df, order, name="sk", **options):
-    options = {"single_task_rows": 0, "rows_per_bucket": 50, **options}
-    return dense_key(df, order, name, **options)
+    return dense_key(df, order, name, **{"ranges": 20, **options})
+
+
+def rows_by_range(keyed):
+    """Rows of each range that was written."""
+    spark = keyed.sparkSession
+    return [spark.read.parquet(f).count() for f in set(keyed.inputFiles())]
 
 
 def assert_dense_in_order(rows, order, start=0):
@@ -21,7 +26,7 @@ def assert_dense_in_order(rows, order, start=0):
     assert values == sorted(values)
 
 
-def test_small_input_uses_one_window(spark):
+def test_small_input(spark):
     df = spark.createDataFrame([(3,), (1,), (2,)], "k bigint")
     got = {r.k: r.sk for r in dense_key(df, "k", "sk", start=10).collect()}
     assert got == {1: 11, 2: 12, 3: 13}
@@ -77,19 +82,35 @@ def test_hot_key_is_split_between_ranges(spark):
         F.col("id").alias("payload"),
     )
     keyed = ranges(df, "k")
-    rows = keyed.withColumn("task", F.spark_partition_id()).collect()
+    rows = keyed.collect()
     assert_dense_in_order(rows, ["k"])
     assert len({r.payload for r in rows}) == 6000
-    hot = [r.task for r in rows if r.k == 77]
-    assert max(hot.count(t) for t in set(hot)) < 6000 / 10
+    assert max(rows_by_range(keyed)) < 6000 / 8
+
+
+def test_long_decimals_spread_over_all_ranges(spark):
+    """26 digits and microseconds: more than a double or a millisecond can tell apart."""
+    df = spark.range(2000).select(
+        (F.col("id").cast("decimal(38,10)") / F.lit(10**9).cast("decimal(12,0)")
+         + F.lit(Decimal("1234567890123456.0"))).cast("decimal(38,10)").alias("k"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id")).alias("t"),
+    )
+    for column in ("k", "t"):
+        keyed = ranges(df, column)
+        assert_dense_in_order(keyed.collect(), [column])
+        sizes = rows_by_range(keyed)
+        assert len(sizes) >= 18 and max(sizes) < 300
 
 
 def test_hot_copies_are_collapsed_and_spread(spark, monkeypatch):
     monkeypatch.setattr(keys, "COPIES_PER_TASK", 100)
+    monkeypatch.setattr(keys, "SAMPLED_SHARE", 0.5)
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(77)).otherwise(F.col("id")).alias("k"),
         F.when(F.col("id") % 3 == 0, F.lit("x")).otherwise(F.hex("id")).alias("v"),
     )
+    monkeypatch.setattr(keys, "HOT_ROWS", 500)
+    assert keys.has_hot_copies(df.withColumn("__tie", F.xxhash64("k", "v")))
     keyed = ranges(df, "k")
     assert keyed.columns == ["k", "v", "sk"]
     rows = keyed.withColumn("task", F.spark_partition_id()).collect()
@@ -104,33 +125,23 @@ def test_all_rows_alike(spark):
     assert_dense_in_order(ranges(df, "k").collect(), ["k"])
 
 
-def test_bucket_count_is_bounded(spark):
-    keyed = ranges(spark.range(2000), "id", rows_per_bucket=1, max_buckets=16)
-    assert keyed.rdd.getNumPartitions() <= 16
-    assert_dense_in_order(keyed.collect(), ["id"])
-
-
-def test_range_plan_has_one_exchange_and_no_single_partition(spark):
-    plan = ranges(spark.range(2000), "id")._jdf.queryExecution().toString()
-    physical = plan[plan.index("== Physical Plan ==") :]
-    assert physical.count("Exchange ") == 1
-    assert "SinglePartition" not in physical
+def test_numbers_are_fixed_once_written(spark):
+    keyed = ranges(spark.range(2000), "id")
+    plan = keyed._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan[plan.index("== Physical Plan ==") :]
+    assert keyed.collect() == keyed.collect()
 
 
-@pytest.mark.parametrize("single_task_rows", [0, 10_000])
-def test_equal_keys_are_numbered_the_same_way_again(spark, single_task_rows):
+def test_equal_keys_are_numbered_the_same_way_again(spark):
     df = spark.range(2000).selectExpr("id % 50 AS k", "hex(id) AS v")
     numbered = []
     for parts in (3, 11):
-        keyed = ranges(df.repartition(parts), "k", single_task_rows=single_task_rows)
+        keyed = ranges(df.repartition(parts), "k")
         assert keyed.columns == ["k", "v", "sk"]
         numbered.append({r.v: r.sk for r in keyed.collect()})
     assert numbered[0] == numbered[1]
 
 
-def test_unique_keys_leave_other_columns_unread(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(100).selectExpr("id AS k", "hex(id) AS wide").write.parquet(path)
-    keyed = dense_key(spark.read.parquet(path), "k", "sk", unique=True)
-    plan = keyed.select("k", "sk")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<k:bigint>" in plan
+def test_many_rows_make_few_files(spark):
+    keyed = dense_key(spark.range(300_000), "id", "sk", unique=True)
+    assert len(keyed.inputFiles()) <= 8

@@ -1,4 +1,5 @@
-from datetime import datetime
+from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -6,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starflow.plans.schemas import KEYS, SOURCES
-from starflow.sources.jdbc import Database, databases, range_options
+from starflow.sources.jdbc import Database, databases, hash_predicates, range_options, read_jdbc
 from starflow.sources.landing import land_snapshot, map_columns
 from starflow.sources.storage import (
+    discard_runs,
     materialise,
     partitions,
     publish,
@@ -36,6 +38,41 @@ def test_empty_result_clears_the_day(spark, tmp_path):
     assert read_partition(spark, root, "2026-01-01").collect() == []
 
 
+def test_failed_write_leaves_the_old_day_whole(spark, tmp_path):
+    root = str(tmp_path / "t")
+    publish(spark.range(5), root, "2026-01-01")
+    failing = spark.range(5).select(F.raise_error(F.lit("half way")).cast("long").alias("id"))
+    for day in ("2026-01-01", "2026-01-02"):
+        with pytest.raises(PySparkException, match="half way"):
+            publish(failing, root, day)
+    assert partitions(spark, root) == ["2026-01-01"]
+    assert read_partition(spark, root, "2026-01-01").count() == 5
+    assert read_previous(spark, root, "2026-01-03").count() == 5
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["pt=2026-01-01"]
+
+
+def test_unfinished_days_do_not_count(spark, tmp_path):
+    root = tmp_path / "t"
+    publish(spark.range(5), str(root), "2026-01-01")
+    (root / "pt=2026-01-02").mkdir()
+    assert partitions(spark, str(root)) == ["2026-01-01"]
+    assert read_previous(spark, str(root), "2026-01-03").count() == 5
+
+
+def test_a_swap_cut_off_midway_is_put_back(spark, tmp_path):
+    root = tmp_path / "t"
+    publish(spark.range(5), str(root), "2026-01-01")
+    (root / "pt=2026-01-01").rename(root / ".old-pt=2026-01-01")
+    assert partitions(spark, str(root)) == ["2026-01-01"]
+    assert read_partition(spark, str(root), "2026-01-01").count() == 5
+
+
+def test_run_folders_can_be_discarded(spark):
+    kept = materialise(spark.range(3)).inputFiles()[0]
+    discard_runs(spark)
+    assert not Path(kept.removeprefix("file:")).exists()
+
+
 def test_a_day_may_be_built_from_earlier_days(spark, tmp_path):
     root = str(tmp_path / "t")
     publish(spark.range(5), root, "2026-01-01")
@@ -107,8 +144,13 @@ def test_landing_refuses_missing_columns_and_bad_values(spark):
     with pytest.raises(ValueError, match="stock_num"):
         land_snapshot(spark.range(1), schema, "d")
     src = spark.createDataFrame([("x",)], "stock_num string")
-    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
-        land_snapshot(src, StructType([schema["stock_num"]]), "d").collect()
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(PySparkException, match="stock_num cannot hold as int"):
+                land_snapshot(src, StructType([schema["stock_num"]]), "d").collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_mapping(spark):
@@ -155,6 +197,24 @@ def test_database_configuration():
         Database.from_config({"type": "mysql"})
 
 
+def test_splits_by_date_hash_and_choice(spark):
+    got = range_options("t", "d", date(2026, 1, 1), date(2026, 2, 1), 4)
+    assert (got["lowerBound"], got["upperBound"]) == ("2026-01-01", "2026-02-02")
+    got = range_options("t", "d", datetime(2026, 1, 1, 5), datetime(2026, 1, 2), 4)
+    assert (got["lowerBound"], got["upperBound"]) == ("2026-01-01 05:00:00", "2026-01-02 00:00:01")
+    with pytest.raises(TypeError, match="hash_predicates"):
+        range_options("t", "s", "a", "z", 4)
+    assert hash_predicates("mysql", "code", 2) == [
+        "MOD(CRC32(code), 2) = 0 OR code IS NULL",
+        "MOD(CRC32(code), 2) = 1",
+    ]
+    with pytest.raises(ValueError, match="sqlite"):
+        hash_predicates("sqlite", "code", 2)
+    db = Database.from_config({"type": "mysql", "dbname": "m"})
+    with pytest.raises(ValueError, match="unsplit"):
+        read_jdbc(spark, db, "t")
+
+
 def test_range_options_cover_the_last_key():
     got = range_options("t", "id", 3, 9, 4)
     assert got["lowerBound"] == "3" and got["upperBound"] == "10"

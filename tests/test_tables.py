@@ -4,7 +4,7 @@ from starflow.plans.model import FACTS, SUMMARIES
 from starflow.plans.queries import DIM_SOURCE, Retail
 from starflow.plans.schemas import SOURCES, landed_name
 from starflow.plans.tables import table_schema, table_schemas
-from starflow.sources.catalog import create_table, refresh_partitions
+from starflow.sources.catalog import add_partition, create_table, refresh_partitions
 from starflow.sources.storage import publish
 
 FOLDER = "/root/testdata/sf0.001"
@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def retail(spark):
-    return Retail(spark, FOLDER, numbered=False)
+    return Retail(spark, FOLDER)
 
 
 def layout(schema):
@@ -42,7 +42,7 @@ def test_fact_layout(retail, name):
 @pytest.mark.parametrize("name", SUMMARIES)
 def test_summary_layout(retail, name):
     got = layout(retail.summary(name).schema)
-    assert [*got[1:], got[0]] == layout(table_schema(SUMMARIES[name].table))
+    assert got == layout(table_schema(SUMMARIES[name].table))
 
 
 def test_published_table_in_sql(spark, retail, tmp_path):
@@ -51,6 +51,8 @@ def test_published_table_in_sql(spark, retail, tmp_path):
     create_table(spark, "shops", table_schema("dim_shop"), root)
     publish(retail.dim("shop"), root, "2026-07-07")
     publish(retail.dim("shop").limit(4), root, "2026-07-08")
+    add_partition(spark, "shops", "2026-07-08")
+    assert [r.pt for r in spark.sql("SELECT DISTINCT pt FROM shops").collect()] == ["2026-07-08"]
     refresh_partitions(spark, "shops")
     counts = spark.sql("SELECT pt, count(*) AS n FROM shops GROUP BY pt").collect()
     assert {(r.pt, r.n) for r in counts} == {("2026-07-07", 10), ("2026-07-08", 4)}
