@@ -33,7 +33,8 @@ from starflow.llm.text import keyed_text, map_batches
 
 BLANK = "▁"
 LONG_UNIT = 96
-REMEMBERED = 800_000
+REMEMBERED = 500_000
+CHARS_AT_ONCE = 1 << 20
 UNITS_AT_ONCE = 50_000
 FAR = np.int64(1) << 40
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -246,6 +247,19 @@ class Model:
         return re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", whole)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; the words of about ``CHARS_AT_ONCE`` are held at a time."""
+        out: list[np.ndarray] = []
+        held: list[str | None] = []
+        size = 0
+        for text in texts:
+            held.append(text)
+            size += len(text or "")
+            if size >= CHARS_AT_ONCE:
+                out += self._encode(held)
+                held, size = [], 0
+        return out + self._encode(held)
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.words) + len(self.units) > REMEMBERED:
             self.words.clear()
             self.units.clear()
