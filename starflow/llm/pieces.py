@@ -34,7 +34,7 @@ from starflow.llm.text import keyed_text, map_batches
 BLANK = "▁"
 LONG_UNIT = 96
 REMEMBERED = 500_000
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 22
 UNITS_AT_ONCE = 50_000
 FAR = np.int64(1) << 40
 BASE = np.uint64(0x9E3779B97F4A7C15)
