@@ -99,7 +99,8 @@ KEYWORDS = "licen[cs]e|copyright|warrant|redistribut|permission|all rights reser
 FOUND = f"(?i){KEYWORDS}"
 SENTENCE_END = r"[.!?;]+[ \t\r\n]+"
 LINE_CUT = rf"{SENTENCE_END}|[\r\n]+"
-PARAGRAPH_CUT = rf"{SENTENCE_END}|[\r\n][ \t\r]*\n[ \t\r\n]*"
+# A line of nothing but comment marks parts paragraphs as an empty one does.
+PARAGRAPH_CUT = rf"{SENTENCE_END}|[\r\n][ \t\r#*/;-]*\n[ \t\r\n#*/;-]*"
 UNWANTED = "[^A-Za-z0-9.+/-]+"
 # A list mark or leading comment dashes, and what may close a sentence.
 EDGES = r"^[ ./-]+|[ .]+$"

@@ -16,6 +16,7 @@ ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -231,9 +232,11 @@ def keep_one_of_each(
     """One row of each component: the one with the least id, of equal ids the one with
     the least text. Rows without an id cannot be named and stay as they are."""
     found = near_duplicates(documents, shingle=shingle, most=most, key=key, text=text)
-    first = found.groupBy("component_id").agg(F.min("doc_id").alias("keep")).select("keep")
-    with_id = documents.where(F.col(key).isNotNull()).join(first, F.col(key) == F.col("keep"), "left_semi")
+    first = found.groupBy("component_id").agg(F.min("doc_id").alias(key)).select(key)
+    with_id = documents.where(F.col(key).isNotNull()).join(first, key, "left_semi")
+    with_id = with_id.select(*documents.columns)
+    rank = f"rank-{uuid.uuid4().hex}"
     tie = [F.col(text).asc_nulls_first(), *[F.col(f"`{c}`").cast("string") for c in documents.columns]]
-    numbered = with_id.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*tie)))
-    kept = numbered.where(F.col("_rank") == 1).drop("_rank")
+    numbered = with_id.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*tie)))
+    kept = numbered.where(F.col(f"`{rank}`") == 1).drop(rank)
     return kept.unionByName(documents.where(F.col(key).isNull()))

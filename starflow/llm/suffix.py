@@ -129,6 +129,8 @@ class RunIndex:
     """
 
     def __init__(self, rows: np.ndarray, owner: np.ndarray, length: int) -> None:
+        if length < 8:
+            raise ValueError("prefixes are told apart from 8 bytes on")
         self.rows, self.length = rows, length
         n, width = rows.shape
         size = (rows != 0).sum(axis=1)
