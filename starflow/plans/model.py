@@ -121,7 +121,6 @@ FACTS = {
             grain="id",
             lookups=(("sku", "sku_id"), ("shop", "shop_id")),
             measures=(Measure("stock_num", SEMI_ADDITIVE),),
-            snapshot=True,
         ),
         FactSpec(
             name="coupon_usage",

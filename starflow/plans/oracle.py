@@ -325,6 +325,13 @@ def _columns_profile(*extra: str) -> str:
 
 # Columns of the test tables that the key profile covers.
 _PROFILED = {
+    "region": "r_regionkey r_name",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
     "nation": "n_nationkey n_name n_regionkey",
     "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
     "supplier": "s_suppkey s_name s_nationkey s_acctbal",

@@ -295,7 +295,10 @@ def profile_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 def profile_candidate_key(spark: SparkSession, folder: str) -> DataFrame:
     bindings = Bindings(spark, folder)
-    names = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+    names = (
+        "region nation customer supplier part orders lineitem events documents "
+        "embeddings pages benchmark labels conversations"
+    ).split()
     return checks.union_all(
         [profiling.candidate_keys(bindings.table(n), n) for n in names]
     )

@@ -79,16 +79,6 @@ KEYS = {
     "user_info": "user_id",
 }
 
-# Meaning of the coded columns.
-CODES = {
-    "order_status": {1: "unpaid", 2: "paid", 3: "shipped", 4: "done", 5: "cancelled"},
-    "discount_type": {1: "amount off", 2: "percentage off"},
-    "pay_status": {1: "succeeded", 2: "failed"},
-    "refund_status": {0: "requested", 1: "succeeded", 2: "refused"},
-    "use_status": {0: "unused", 1: "used", 2: "expired"},
-    "gender": {"1": "male", "2": "female"},
-}
-
 
 def _struct(columns: str) -> StructType:
     pairs = [c.split() for c in columns.split(",")]

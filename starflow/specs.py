@@ -65,7 +65,6 @@ class FactSpec:
     lookups: tuple[tuple[str, str], ...]  # (dimension name, foreign key column)
     carried: tuple[str, ...] = ()
     measures: tuple[Measure, ...] = ()
-    snapshot: bool = False
 
     @property
     def sk(self) -> str:
