@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from starflow.llm.scratch import saved
 
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 HASHES_IN_BUCKET = 1 << 21
 MOST_BUCKETS = 1 << 16
 CHUNK_SCHEMA = "chunk long, n_bytes long, rows binary"

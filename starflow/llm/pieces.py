@@ -33,7 +33,7 @@ from starflow.llm.text import keyed_text, map_batches
 
 BLANK = "▁"
 LONG_UNIT = 96
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 CHARS_AT_ONCE = 1 << 22
 UNITS_AT_ONCE = 50_000
 FAR = np.int64(1) << 40
@@ -124,8 +124,8 @@ class Model:
                 surface[i] = b""
         self.surface = surface
         self.prefix = sp.normalize("a") == BLANK + "a"
-        self.words: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        # Ids of words and units; a unit is the word that has nothing to cut.
+        self.known: dict[str, bytes] = {}
 
     @staticmethod
     def prefixes(units: list[str]) -> np.ndarray:
@@ -223,15 +223,15 @@ class Model:
                 # Runs of blanks share one score, so the merge order itself decides.
                 parts = merge(unit[:LONG_UNIT], self.score) if len(unit) <= LONG_UNIT else None
                 ids = [self.id[p] for p in parts] if parts else self._library(unit)
-                self.units[unit] = np.array(ids, "<u4").tobytes()
+                self.known[unit] = np.array(ids, "<u4").tobytes()
             elif len(unit) > LONG_UNIT:
-                self.units[unit] = self._alone(unit)
+                self.known[unit] = self._alone(unit)
             else:
                 by_length[len(unit)].append(unit)
         for own in by_length.values():
             for at in range(0, len(own), UNITS_AT_ONCE):
                 part = own[at : at + UNITS_AT_ONCE]
-                self.units.update(zip(part, self._advance(part), strict=True))
+                self.known.update(zip(part, self._advance(part), strict=True))
 
     def _library(self, unit: str) -> list[int]:
         """A blank run longer than a unit may be: the library's own merges."""
@@ -260,22 +260,21 @@ class Model:
         return out + self._encode(held)
 
     def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.words) + len(self.units) > REMEMBERED:
-            self.words.clear()
-            self.units.clear()
+        if len(self.known) > REMEMBERED:
+            self.known = {}
         cut = [self.cut(t) if t else [] for t in texts]
-        new = set().union(*cut) - self.words.keys() if cut else set()
+        new = set().union(*cut) - self.known.keys() if cut else set()
         parts = {w: [x for x in self.foreign.split(w) if x] for w in new}
         foreign = {x for own in parts.values() for x in own if len(x) == 1 and x not in self.id}
-        units = {x for own in parts.values() for x in own} - foreign - self.units.keys()
+        units = {x for own in parts.values() for x in own} - foreign - self.known.keys()
         self._learn(units)
         for x in foreign:
             ids = [self.byte[b] for b in x.encode()] if self.byte else [self.unknown]
-            self.units[x] = np.array(ids, "<u4").tobytes()
-        look_up = self.units.__getitem__
+            self.known[x] = np.array(ids, "<u4").tobytes()
+        look_up = self.known.__getitem__
         for w, own in parts.items():
-            self.words[w] = b"".join(map(look_up, own))
-        look_up = self.words.__getitem__
+            if own != [w]:
+                self.known[w] = b"".join(map(look_up, own))
         return [np.frombuffer(b"".join(map(look_up, own)), "<u4") for own in cut]
 
     def decode(self, ids: np.ndarray) -> str:

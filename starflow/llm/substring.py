@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 
 from starflow.llm import chunks as ch
 from starflow.llm.scratch import saved
-from starflow.llm.text import keyed_text
+from starflow.llm.text import keyed_text, tidy
 
 WINDOW = 50
 ANCHOR_BITS = 44
@@ -191,6 +191,7 @@ def _answer_anchors(group: pa.Table) -> pa.Table:
         both = np.union1d(own[ch.in_sorted(own, shared)], p[ch.in_sorted(p, shared)])
         if len(both):
             rows.append((number, ch.pack_sorted(both)))
+    tidy()
     return pa.Table.from_batches([_messages(rows, ["chunk", "answer"], [pa.int64(), pa.binary()])])
 
 
@@ -256,6 +257,7 @@ def _answer_windows(group: pa.Table) -> pa.Table:
         smaller = own[ids[np.searchsorted(every, own)] < low]
         if len(smaller):
             rows.append((number, ch.pack_sorted(smaller)))
+    tidy()
     return pa.Table.from_batches([_messages(rows, ["chunk", "answer"], [pa.int64(), pa.binary()])])
 
 
@@ -322,6 +324,7 @@ def _finish(
             known.append(np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64))
         table = ch.unpack_rows(body[int(np.flatnonzero(turn == 0)[0])])
         chunk = Chunk(table, key, text)
+        tidy()
         return build(table, chunk, _covered(chunk, known[1], known[0], half, window))
 
     return rows.groupBy("chunk").applyInArrow(run, schema)

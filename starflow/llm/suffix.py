@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from starflow.llm import chunks as ch
 from starflow.llm.scratch import saved
 from starflow.llm.substring import NO_ID, _messages, mix
-from starflow.llm.text import keyed_text
+from starflow.llm.text import keyed_text, tidy
 
 LENGTH = 50
 GRAM = 20
@@ -265,6 +265,7 @@ def _answer_minimisers(group: pa.Table) -> pa.Table:
         both = np.union1d(a[ch.in_sorted(a, shared)], b)
         if len(both):
             rows.append((number, ch.pack_sorted(both)))
+    tidy()
     return pa.Table.from_batches([_messages(rows, ["chunk", "answer"], [pa.int64(), pa.binary()])])
 
 
@@ -324,6 +325,7 @@ def _match(group: pa.Table, width: int, length: int) -> pa.Table:
         smaller = known[inverse[at : at + len(own)]] < low[:, None]
         at += len(own)
         rows.append((number, bucket, zlib.compress(np.packbits(smaller, axis=1).tobytes(), 1)))
+    tidy()
     names, types = ["chunk", "bucket", "answer"], [pa.int64(), pa.int32(), pa.binary()]
     return pa.Table.from_batches([_messages(rows, names, types)])
 

@@ -6,6 +6,7 @@ at exactly these six ASCII characters, so Python tasks split encoded text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,6 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# glibc has this, other C libraries may not.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -32,6 +36,13 @@ def keyed_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def map_batches(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
@@ -43,5 +54,6 @@ def map_batches(
         for batch in batches:
             if batch.num_rows and (out := function(batch)) is not None:
                 yield out
+        tidy()
 
     return df.mapInArrow(run, schema)
