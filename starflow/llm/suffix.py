@@ -4,8 +4,10 @@ A 50-byte string is dealt to a shard by its minimiser (the least hash of its 20-
 grams), so equal strings meet and the corpus needs no single index. Three passes over
 packed chunks of documents:
 
-1. chunks send their distinct minimisers; buckets answer with those that occur in two
-   documents, and only text around such ones goes on;
+1. chunks send their distinct minimisers with their counts; buckets answer with those
+   that occur in two documents, and only text around such ones goes on. One that heads
+   over ``HOT_RUNS`` runs would fill a shard: its windows are dealt singly by a hash of
+   all their bytes instead, so only equal windows still meet;
 2. chunks send its runs (consecutive windows of one minimiser, at most 80 bytes), each
    distinct one once with its least document. A shard sorts the suffixes of the runs
    that share a minimiser with another run, stores their Burrows-Wheeler transform as runs of equal bytes with suffixes
@@ -40,6 +42,8 @@ LENGTH = 50
 GRAM = 20
 MINIMISER_BITS = 48
 PIECE_BYTES = 1 << 20
+HOT_RUNS = 200_000
+HOT = np.uint64(1)
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -105,9 +109,36 @@ class Runs:
         # Mixed again: least hashes are small, and leading bits name the bucket.
         return [mix(least[head][good]) & mask, head[good] + base, count[good], doc[head][good]]
 
-    def strings(self, pick: np.ndarray, width: int) -> np.ndarray:
-        """Rows of bytes plus one, zero-filled, of the picked runs."""
-        at, size = self.start[pick], self.count[pick] + self.length - 1
+    def picked(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Key, first byte, windows and document of the runs to send, in order of key.
+
+        ``shared`` holds minimisers, those with the ``HOT`` bit set to be dealt by window.
+        """
+        plain = shared & ~HOT
+        pick = np.flatnonzero(ch.in_sorted(self.value, plain))
+        hot = ch.in_sorted(self.value[pick], plain[(shared & HOT) == HOT])
+        cold, split = pick[~hot], pick[hot]
+        times = self.count[split]
+        place = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        start = np.repeat(self.start[split], times) + place
+        joined = (
+            np.concatenate([self.value[cold], self._window_keys(start)]),
+            np.concatenate([self.start[cold], start]),
+            np.concatenate([self.count[cold], np.ones(len(start), np.int64)]),
+            np.concatenate([self.doc[cold], np.repeat(self.doc[split], times)]),
+        )
+        order = np.argsort(joined[0], kind="stable")
+        return tuple(x[order] for x in joined)
+
+    def _window_keys(self, start: np.ndarray) -> np.ndarray:
+        keys = np.zeros(len(start), np.uint64)
+        for k in range(self.length if len(start) else 0):
+            keys = mix(keys + self.data[start + k].astype(np.uint64) + np.uint64(1))
+        return keys
+
+    def strings(self, at: np.ndarray, count: np.ndarray, width: int) -> np.ndarray:
+        """Rows of bytes plus one, zero-filled, of runs."""
+        size = count + self.length - 1
         place = np.arange(width)
         inside = place < size[:, None]
         where = np.minimum(at[:, None] + place, max(0, len(self.data) - 1))
@@ -230,7 +261,8 @@ class RunIndex:
 
 
 def _send_minimisers(packed: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(bucket, chunk, once, more): minimisers in one of the chunk's documents, in several."""
+    """(bucket, chunk, once, more, runs): minimisers in one of the chunk's documents, in
+    several, and the runs of each, those of ``once`` first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,27 +274,35 @@ def _send_minimisers(packed: DataFrame, length: int, buckets: int) -> DataFrame:
                     continue
                 first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
                 several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
+                times = np.diff(np.r_[first, len(value)])
                 value = value[first]
                 for b, s in ch.bucket_slices(value, buckets):
-                    own, many = value[s], several[s]
+                    own, many, n = value[s], several[s], times[s]
+                    counts = ch.pack_plain(np.concatenate([n[~many], n[many]]))
                     yield _messages(
-                        [(b, row["chunk"], ch.pack_sorted(own[~many]), ch.pack_sorted(own[many]))],
-                        ["bucket", "chunk", "once", "more"],
-                        [pa.int32(), pa.int64(), pa.binary(), pa.binary()],
+                        [(b, row["chunk"], ch.pack_sorted(own[~many]), ch.pack_sorted(own[many]), counts)],
+                        ["bucket", "chunk", "once", "more", "runs"],
+                        [pa.int32(), pa.int64(), *[pa.binary()] * 3],
                     )
+        tidy()
 
-    return packed.mapInArrow(run, "bucket int, chunk long, once binary, more binary")
+    return packed.mapInArrow(run, "bucket int, chunk long, once binary, more binary, runs binary")
 
 
-def _answer_minimisers(group: pa.Table) -> pa.Table:
+def _answer_minimisers(group: pa.Table, hot_runs: int) -> pa.Table:
     numbers = group.column("chunk").to_pylist()
     once = [ch.unpack_sorted(x) for x in group.column("once").to_pylist()]
     more = [ch.unpack_sorted(x) for x in group.column("more").to_pylist()]
-    value, count = np.unique(np.concatenate(once + more), return_counts=True)
+    runs = [ch.unpack_plain(x) for x in group.column("runs").to_pylist()]
+    every = np.concatenate([np.concatenate(pair) for pair in zip(once, more, strict=True)])
+    value, which, count = np.unique(every, return_inverse=True, return_counts=True)
+    total = np.bincount(which, np.concatenate(runs), len(value))
     shared = value[(count > 1) | ch.in_sorted(value, np.unique(np.concatenate(more)))]
+    hot = value[total > hot_runs]
     rows = []
     for number, a, b in zip(numbers, once, more, strict=True):
         both = np.union1d(a[ch.in_sorted(a, shared)], b)
+        both |= np.where(ch.in_sorted(both, hot), HOT, np.uint64(0))
         if len(both):
             rows.append((number, ch.pack_sorted(both)))
     tidy()
@@ -270,18 +310,16 @@ def _answer_minimisers(group: pa.Table) -> pa.Table:
 
 
 def _shards(runs: Runs, shared: np.ndarray, buckets: int, width: int) -> Iterator[tuple]:
-    """(bucket, picked runs, distinct strings, place of each run, and of each string its
-    least document and minimiser)."""
-    pick = np.flatnonzero(ch.in_sorted(runs.value, shared))
-    pick = pick[np.argsort(runs.value[pick], kind="stable")]
-    for b, s in ch.bucket_slices(runs.value[pick], buckets):
-        own = pick[s]
-        distinct, inverse = _distinct_rows(runs.strings(own, width))
+    """(bucket, first byte, windows and document of each run, distinct strings, place of
+    each run among them, and of each string its least document and key)."""
+    key, start, count, doc = runs.picked(shared)
+    for b, s in ch.bucket_slices(key, buckets):
+        distinct, inverse = _distinct_rows(runs.strings(start[s], count[s], width))
         least = np.full(len(distinct), NO_ID, np.int64)
-        np.minimum.at(least, inverse, runs.ids[runs.doc[own]])
+        np.minimum.at(least, inverse, runs.ids[doc[s]])
         value = np.zeros(len(distinct), np.uint64)
-        value[inverse] = runs.value[own]
-        yield b, own, distinct, inverse, least, value
+        value[inverse] = key[s]
+        yield b, start[s], count[s], doc[s], distinct, inverse, least, value
 
 
 def _shared_of(group: pa.Table) -> tuple[int, pa.Table, np.ndarray]:
@@ -310,7 +348,7 @@ def _match(group: pa.Table, width: int, length: int) -> pa.Table:
     np.minimum.at(owner, inverse, np.concatenate(least))
     value = np.zeros(len(distinct), np.uint64)
     value[inverse] = np.concatenate([ch.unpack_plain(x) for x in group.column("value").to_pylist()]).view(np.uint64)
-    # A string alone under its minimiser shares no window with another: its least
+    # A string alone under its key shares no window with another: its least
     # document has them all, and only the others go into the index.
     known = np.repeat(owner[:, None], width - length + 1, axis=1)
     _, which, count = np.unique(value, return_inverse=True, return_counts=True)
@@ -334,6 +372,7 @@ def repeated_bytes(
     documents: DataFrame, *, length: int = LENGTH, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    hot_runs = HOT_RUNS
     if length < GRAM:
         raise ValueError(f"a match must have {GRAM} bytes or more")
     width = 2 * length - GRAM
@@ -343,7 +382,9 @@ def repeated_bytes(
     first_buckets, second_buckets = ch.buckets_for(total // 16), ch.buckets_for(total // 4)
     asked = _send_minimisers(packed, length, first_buckets)
     shared = saved(
-        asked.groupBy("bucket").applyInArrow(_answer_minimisers, "chunk long, answer binary"),
+        asked.groupBy("bucket").applyInArrow(
+            lambda group: _answer_minimisers(group, hot_runs), "chunk long, answer binary"
+        ),
         "minimisers",
         compression="none",
     )
@@ -359,7 +400,7 @@ def repeated_bytes(
         number, table, own = _shared_of(group)
         rows = [
             (b, number, zlib.compress(distinct.tobytes(), 1), ch.pack_plain(least), ch.pack_plain(value.view(np.int64)))
-            for b, _, distinct, _, least, value in _shards(Runs(table, length), own, second_buckets, width)
+            for b, _, _, _, distinct, _, least, value in _shards(Runs(table, length), own, second_buckets, width)
         ]
         names = ["bucket", "chunk", "strings", "least", "value"]
         types = [pa.int32(), pa.int64(), *[pa.binary()] * 3]
@@ -388,12 +429,12 @@ def repeated_bytes(
             if k == 2
         }
         places = width - length + 1
-        for b, picked, distinct, inverse, least, _ in _shards(runs, own, second_buckets, width):
+        for b, start, count, doc, distinct, inverse, least, _ in _shards(runs, own, second_buckets, width):
             flags = np.unpackbits(bits[b].reshape(len(distinct), -1), axis=1, count=places).astype(bool)
             # A larger document of this chunk has the whole string from the least one.
-            marked = flags[inverse] | (runs.ids[runs.doc[picked]] > least[inverse])[:, None]
-            marked &= np.arange(places) < runs.count[picked][:, None]
-            where = (runs.start[picked][:, None] + np.arange(places))[marked]
+            marked = flags[inverse] | (runs.ids[doc] > least[inverse])[:, None]
+            marked &= np.arange(places) < count[:, None]
+            where = (start[:, None] + np.arange(places))[marked]
             np.add.at(change, where, 1)
             np.add.at(change, where + length, -1)
         covered = np.cumsum(change[:-1]) > 0

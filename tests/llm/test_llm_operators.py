@@ -79,8 +79,9 @@ def test_repeated_words(spark, small_chunks, window):
     assert sorted(map(tuple, got)) == repeated_words(rows, window)
 
 
-@pytest.mark.parametrize("length", [20, 33])
-def test_repeated_bytes(spark, small_chunks, length):
+@pytest.mark.parametrize("length, hot", [(20, 200_000), (33, 200_000), (33, 3)])
+def test_repeated_bytes(spark, small_chunks, monkeypatch, length, hot):
+    monkeypatch.setattr(suffix, "HOT_RUNS", hot)
     rows = [*copies("abcdé ", "", 200), (7000, "x" * 300), (7001, "y" + "x" * 300)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = suffix.repeated_bytes(df, length=length).collect()
