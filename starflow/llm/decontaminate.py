@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased and ASCII punctuation is white space. One pass over the corpus
-counts, over all documents, in how many each n-gram of the benchmark occurs. An item's
-seeds are its n-grams in at most ``RARE`` times as many documents as its median one
-that occurs at all: phrases that are common in any text go, while an item keeps seeds
-however often it leaked. A second pass looks every n-gram of every document up among the seeds, takes
-the passage around each hit, and aligns it with the item word by word; a passage
-counts if the best local score reaches ``threshold`` of the item's own.
+looks every n-gram of every document up among the n-grams of the benchmark, takes the
+passage around each hit, and aligns it with the item word by word; a passage counts if
+the best local score reaches ``threshold`` of the item's own. Every n-gram of an item
+is a seed, however many documents have it: the copies of an item make its own n-grams
+common. Pairs that only share common phrases are mostly dropped before they are
+aligned, by bounds that no passage above the threshold fails.
 
 The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words, a bound
 that does not grow with any data; a longer benchmark takes more passes.
@@ -20,7 +20,6 @@ kind gives no pairs; other columns are ignored by ``leaks`` and kept by
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,7 +32,6 @@ from starflow.llm.substring import hash_documents, windows
 from starflow.llm.text import keyed_text, map_batches
 
 GRAM = 4
-RARE = 4
 THRESHOLD = 0.5
 FULL_WORDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -69,8 +67,14 @@ class Block:
     item: np.ndarray = field(init=False)
     place: np.ndarray = field(init=False)
     widths: list[int] = field(init=False)
+    sizes: np.ndarray = field(init=False)
+    first: np.ndarray = field(init=False)
+    flat: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.concatenate(self.words)
         parts = []
         for k, own in enumerate(self.words):
             width = min(GRAM, len(own))
@@ -81,66 +85,85 @@ class Block:
         self.gram, self.item, self.place = joined
         self.gram = self.gram.astype(np.uint64)
         self.widths = sorted({min(GRAM, len(w)) for w in self.words if len(w)})
-        self._sort(np.argsort(self.gram, kind="stable"))
-
-    def _sort(self, order: np.ndarray) -> None:
+        order = np.argsort(self.gram, kind="stable")
         self.gram, self.item, self.place = self.gram[order], self.item[order], self.place[order]
 
-    def keep_rare(self, counts: dict[int, int]) -> None:
-        """Drop the n-grams that are common against the item's others, or never occur."""
-        seen = np.array([counts.get(g, 0) for g in self.gram.view(np.int64).tolist()], np.int64)
-        keep = np.zeros(len(seen), bool)
-        for k in np.unique(self.item):
-            own = np.flatnonzero(self.item == k)
-            some = seen[own][seen[own] > 0]
-            keep[own] = (seen[own] > 0) & (seen[own] <= RARE * np.median(some)) if len(some) else False
-        self._sort(np.flatnonzero(keep))
-
-    def hits(self, words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, n-gram) of every n-gram of the block found inside a document."""
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for width in self.widths if len(self.gram) else []:
+    def hits(self, words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, first and last n-gram that equal it) of all hits inside a document."""
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for width in self.widths:
             grams = windows(words, width)
             low = np.searchsorted(self.gram, grams, "left")
             hit = np.flatnonzero(self.gram[np.minimum(low, len(self.gram) - 1)] == grams)
             hit = hit[doc[hit] == doc[hit + width - 1]]
-            high = np.searchsorted(self.gram, grams[hit], "right")
-            times = high - low[hit]
-            at = np.repeat(hit, times)
-            offset = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-            found.append((at, np.repeat(low[hit], times) + offset))
+            found.append((hit, low[hit], np.searchsorted(self.gram, grams[hit], "right") - 1))
         if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
-    def score(self, words: np.ndarray, at: np.ndarray, gram: np.ndarray, threshold: float) -> dict[int, float]:
+    def least(self, item: np.ndarray, threshold: float) -> np.ndarray:
+        """The score that a passage must reach to count for each item."""
+        size = self.sizes[item]
+        return MATCH * np.maximum(threshold * size, np.minimum(size, FULL_WORDS))
+
+    def shared(self, item: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """How many words of each item occur among ``words``."""
+        at = _ranges(self.first[item], self.sizes[item])
+        cuts = np.cumsum(self.sizes[item]) - self.sizes[item]
+        return np.add.reduceat(np.isin(self.flat[at], words).astype(np.int64), cuts)
+
+    def score(
+        self, words: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, threshold: float
+    ) -> dict[int, float]:
         """Items that align with a passage of one document, with their best share."""
-        spots = defaultdict(list)
-        for p, g in zip(at.tolist(), gram.tolist(), strict=True):
-            spots[int(self.item[g])].append(p - int(self.place[g]))
+        gram = _ranges(low, high - low + 1)
+        item, start = self.item[gram], np.repeat(at, high - low + 1) - self.place[gram]
+        names, number = np.unique(item, return_inverse=True)
+        least = self.least(names, threshold)
+        # No alignment matches more words than the two have in common.
+        likely = MATCH * self.shared(names, words) >= least
+        item, start, number = item[likely[number]], start[likely[number]], number[likely[number]]
+        order = np.lexsort((start, item))
+        item, start, number = item[order], start[order], number[order]
+        cuts = np.flatnonzero(np.diff(item)) + 1
         out: dict[int, float] = {}
-        for k, starts in spots.items():
-            item = self.words[k]
-            slack = max(FULL_WORDS, len(item) // 2)
-            least = MATCH * max(threshold * len(item), min(len(item), FULL_WORDS))
-            spans: list[list[int]] = []
-            for s in sorted(set(starts)):
-                low, high = max(0, s - slack), min(len(words), s + len(item) + slack)
-                if spans and low <= spans[-1][1]:
-                    spans[-1][1] = high
-                else:
-                    spans.append([low, high])
-            for low, high in spans:
-                passage = words[low:high]
-                # No alignment matches more words than the two have in common.
-                if MATCH * np.isin(item, passage).sum() < least:
-                    continue
-                score = smith_waterman(item, passage)
-                if score >= least:
-                    out[k] = max(out.get(k, 0.0), score / (MATCH * len(item)))
+        for starts, numbers in zip(np.split(start, cuts), np.split(number, cuts), strict=True):
+            if len(starts):
+                k = int(names[numbers[0]])
+                best = _best_score(self.words[k], words, np.unique(starts).tolist(), float(least[numbers[0]]))
+                if best:
+                    out[k] = best / (MATCH * len(self.words[k]))
         return out
 
 
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers first .. first + size - 1 of each range, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(first - before, sizes) + np.arange(int(sizes.sum()))
+
+
+def _best_score(item: np.ndarray, words: np.ndarray, starts: list[int], least: float) -> int:
+    """Best score of an item in the passages around ``starts``, zero if below ``least``."""
+    slack = max(FULL_WORDS, len(item) // 2)
+    spans: list[list[int]] = []
+    for s in starts:
+        low, high = max(0, s - slack), min(len(words), s + len(item) + slack)
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = high
+        else:
+            spans.append([low, high])
+    # Each word of a passage without a partner costs a point, so an alignment that
+    # reaches ``least`` is no longer than this.
+    longest = len(item) + int(MATCH * len(item) - least)
+    best = 0
+    for low, high in spans:
+        passage = words[low:high]
+        common = np.concatenate([[0], np.cumsum(np.isin(passage, item))])
+        if MATCH * (common[min(longest, len(passage)) :] - common[: max(1, len(common) - longest)]).max() >= least:
+            best = max(best, smith_waterman(item, passage))
+    return best if best >= least else 0
+
+
 def _blocks(benchmark: DataFrame, item_key: str, text: str) -> Iterator[Block]:
     """The benchmark in bounded blocks, read one item after the other."""
     rows = benchmark.select(F.col(item_key).alias("item_id"), F.col(text).alias("text"))
@@ -157,44 +180,23 @@ def _blocks(benchmark: DataFrame, item_key: str, text: str) -> Iterator[Block]:
         yield Block(ids, words)
 
 
-def _document_counts(documents: DataFrame, block: Block, text: str) -> dict[int, int]:
-    """In how many documents each n-gram of the block occurs; at most one entry each."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words, sizes = hash_documents([normalised(t) for t in batch.column("text").to_pylist()])
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        at, gram = block.hits(words, doc)
-        pairs = np.unique(np.stack([block.gram[gram].view(np.int64), doc[at]], axis=1), axis=0)
-        value, n = np.unique(pairs[:, 0], return_counts=True)
-        return pa.record_batch([pa.array(value), pa.array(n, pa.int64())], names=["gram", "n"])
-
-    found = map_batches(documents.select(F.col(text).alias("text")), run, "gram long, n long")
-    return {r.gram: r.n for r in found.groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator()}
-
-
 def _align(bodies: list[str | None], block: Block, threshold: float) -> Iterator[tuple[int, dict[int, float]]]:
     """(row, items with scores) of the rows in which something aligns."""
     words, sizes = hash_documents([normalised(t) for t in bodies])
     first = np.cumsum(sizes) - sizes
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    at, gram = block.hits(words, doc)
+    at, low, high = block.hits(words, doc)
     order = np.argsort(at, kind="stable")
-    at, gram = at[order], gram[order]
+    at, low, high = at[order], low[order], high[order]
     cuts = np.flatnonzero(np.diff(doc[at])) + 1
-    for spots, grams in zip(np.split(at, cuts), np.split(gram, cuts), strict=True):
+    for spots, lows, highs in zip(*(np.split(x, cuts) for x in (at, low, high)), strict=True):
         if len(spots):
             k = int(doc[spots[0]])
             own = words[first[k] : first[k] + sizes[k]]
-            if scores := block.score(own, spots - first[k], grams, threshold):
+            if scores := block.score(own, spots - first[k], lows, highs, threshold):
                 yield k, scores
 
 
-def _seeded(documents: DataFrame, benchmark: DataFrame, text: str, item_key: str, item_text: str) -> Iterator[Block]:
-    for block in _blocks(benchmark, item_key, item_text):
-        block.keep_rare(_document_counts(documents, block, text))
-        yield block
-
-
 def leaks(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -209,7 +211,7 @@ def leaks(
     narrow = keyed_text(documents, key, text)
     schema = "doc_id long, item_id long, score double"
     out = documents.sparkSession.createDataFrame([], schema)
-    for block in _seeded(narrow, benchmark, "text", item_key, item_text):
+    for block in _blocks(benchmark, item_key, item_text):
 
         def run(batch: pa.RecordBatch, block: Block = block) -> pa.RecordBatch:
             ids = batch.column("doc_id").to_pylist()
@@ -238,7 +240,7 @@ def drop_leaks(
 ) -> DataFrame:
     """The rows, with all columns, in which no item aligns."""
     kept = documents
-    for block in _seeded(documents, benchmark, text, item_key, item_text):
+    for block in _blocks(benchmark, item_key, item_text):
 
         def run(batch: pa.RecordBatch, block: Block = block) -> pa.RecordBatch:
             bodies = batch.column(batch.schema.get_field_index(text)).to_pylist()

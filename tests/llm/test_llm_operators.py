@@ -183,6 +183,39 @@ def test_edited_copies_are_found_and_clean_text_is_not(spark, documents, monkeyp
     assert kept == {i for i, _ in rows} - {d for d, _ in want}
 
 
+@pytest.mark.parametrize("copies_of_it", [4, 3_000])
+def test_many_equal_edited_copies_beside_a_verbatim_one_are_found(spark, copies_of_it):
+    item = [f"w{k}" for k in range(40)]
+    edited = ["zz" if k % 7 == 6 else w for k, w in enumerate(item)]
+    assert alignment(item, edited) >= 0.8 * 2 * len(item)
+    rows = [(0, " ".join(item))] + [(k, " ".join(edited)) for k in range(1, copies_of_it + 1)]
+    df = spark.createDataFrame([*rows, (-1, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.leaks(df, items).collect()} == {d for d, _ in rows}
+    assert [r.doc_id for r in decontaminate.drop_leaks(df, items).collect()] == [-1]
+
+
+def test_documents_that_share_only_common_phrases_align_as_without_bounds():
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("abc") for _ in range(rnd.randint(1, 60))) for _ in range(150)]
+    items = [" ".join(rnd.choice("abc") for _ in range(rnd.randint(1, 25))) for _ in range(20)]
+    words = [decontaminate.hash_documents([t.encode()])[0] for t in items]
+    block = decontaminate.Block(list(range(20)), words)
+    got = {(k, i): s for k, found in decontaminate._align(texts, block, 0.5) for i, s in found.items()}
+    plain = {}
+    for k, text in enumerate(texts):
+        for i, item in enumerate(items):
+            own, other = item.split(), text.split()
+            width = min(decontaminate.GRAM, len(own))
+            grams = {tuple(own[p : p + width]) for p in range(len(own) - width + 1)}
+            if any(tuple(other[p : p + width]) in grams for p in range(len(other) - width + 1)):
+                best = alignment(own, other) / (2 * len(own))
+                if best * 2 * len(own) >= block.least(np.array([i]), 0.5)[0]:
+                    plain[k, i] = best
+    assert len(plain) > 100 and got.keys() <= plain.keys()
+    assert all(got[x] <= plain[x] for x in got) and len(got) > 0.99 * len(plain)
+
+
 def test_pieces_equal_the_library(documents):
     model = pieces.load(PIECE)
     texts = [*ODD_TEXTS, *(r.text for r in documents.collect())]
