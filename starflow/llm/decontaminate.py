@@ -8,6 +8,12 @@ is a seed, however many documents have it: the copies of an item make its own n-
 common. Pairs that only share common phrases are mostly dropped before they are
 aligned, by bounds that no passage above the threshold fails.
 
+A copy without a whole n-gram of its item is never aligned, such as one with every third
+word replaced or a foreign word after every second one. Of simulated copies that reach
+the threshold after 20 to 30 % of the words were replaced at random (65,000 to 98,000
+copies of each length and share), 3-grams miss up to 0.015 % at 15 words, 0.035 % at 17,
+0.003 % at 20 and none at 27 and 40; 4-grams miss up to 3.7, 3.5, 1.8, 0.5 and 0.02 %.
+
 The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words, a bound
 that does not grow with any data; a longer benchmark takes more passes.
 
@@ -31,7 +37,7 @@ from pyspark.sql import functions as F
 from starflow.llm.substring import hash_documents, windows
 from starflow.llm.text import keyed_text, map_batches
 
-GRAM = 4
+GRAM = 3
 THRESHOLD = 0.5
 FULL_WORDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1

@@ -195,6 +195,23 @@ def test_many_equal_edited_copies_beside_a_verbatim_one_are_found(spark, copies_
     assert [r.doc_id for r in decontaminate.drop_leaks(df, items).collect()] == [-1]
 
 
+def test_copies_with_a_quarter_of_the_words_replaced_are_found():
+    rnd = random.Random(9)
+    items = [[f"i{i}w{k}" for k in range(15 + i % 6)] for i in range(400)]
+    words = [decontaminate.hash_documents([" ".join(x).encode()])[0] for x in items]
+    block = decontaminate.Block(list(range(len(items))), words)
+    even = [["zz" if k % 4 == 3 else w for k, w in enumerate(x)] for x in items]
+    drawn = [["zz" if rnd.random() < 0.25 else w for w in x] for x in items]
+    for edited in (even, drawn):
+        least = block.least(np.arange(len(items)), 0.5)
+        want = {k for k, x in enumerate(edited) if alignment(items[k], x) >= least[k]}
+        found = decontaminate._align([" ".join(["so", *x, "on"]) for x in edited], block, 0.5)
+        got = {k for k, scores in found if k in scores}
+        assert len(want) > 300 and got <= want and len(want - got) <= 0.005 * len(want)
+        # Only copies without three words in a row are lost.
+        assert all(max(len(r.split()) for r in " ".join(edited[k]).split("zz")) < 3 for k in want - got)
+
+
 def test_documents_that_share_only_common_phrases_align_as_without_bounds():
     rnd = random.Random(5)
     texts = [" ".join(rnd.choice("abc") for _ in range(rnd.randint(1, 60))) for _ in range(150)]
