@@ -18,7 +18,8 @@ The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words, a bo
 that does not grow with any data; a longer benchmark takes more passes.
 
 Defined cases: null and empty texts and items match nothing; an item shorter than an
-n-gram is one seed; below ``FULL_WORDS`` words an item must match wholly; repeated
+n-gram is one seed; below ``FULL_WORDS`` words an item must match wholly, from there
+on ``threshold`` alone decides; repeated
 rows are judged row by row and repeated items item by item; an empty table of either
 kind gives no pairs; other columns are ignored by ``leaks`` and kept by
 ``drop_leaks``.
@@ -110,7 +111,7 @@ class Block:
     def least(self, item: np.ndarray, threshold: float) -> np.ndarray:
         """The score that a passage must reach to count for each item."""
         size = self.sizes[item]
-        return MATCH * np.maximum(threshold * size, np.minimum(size, FULL_WORDS))
+        return MATCH * np.where(size < FULL_WORDS, size, threshold * size)
 
     def shared(self, item: np.ndarray, words: np.ndarray) -> np.ndarray:
         """How many words of each item occur among ``words``."""

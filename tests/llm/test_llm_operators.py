@@ -212,6 +212,15 @@ def test_copies_with_a_quarter_of_the_words_replaced_are_found():
         assert all(max(len(r.split()) for r in " ".join(edited[k]).split("zz")) < 3 for k in want - got)
 
 
+@pytest.mark.parametrize("size", range(2, 17))
+def test_only_items_below_eight_words_must_match_wholly(size):
+    item = [f"w{k}" for k in range(size)]
+    block = decontaminate.Block([1], [decontaminate.hash_documents([" ".join(item).encode()])[0]])
+    edited = [*item[:-2], "zz", item[-1]]
+    found = [k for k, _ in decontaminate._align([" ".join(item), " ".join(edited)], block, 0.5)]
+    assert found == ([0, 1] if size >= 8 else [0])
+
+
 def test_documents_that_share_only_common_phrases_align_as_without_bounds():
     rnd = random.Random(5)
     texts = [" ".join(rnd.choice("abc") for _ in range(rnd.randint(1, 60))) for _ in range(150)]
