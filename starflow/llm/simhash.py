@@ -57,13 +57,19 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(documents: DataFrame, shingle: int = 3, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+    return _with_fingerprint(keyed_text(documents, key, text), shingle, "doc_id long, fp long")
+
+
+def _with_fingerprint(keyed: DataFrame, shingle: int, schema: str) -> DataFrame:
+    """The rows with fp, the last column of ``schema``, in place of the text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
         signed = np.array(values, np.uint64).view(np.int64)
-        return pa.record_batch([batch.column("doc_id"), pa.array(signed)], names=["doc_id", "fp"])
+        names = [n for n in batch.schema.names if n != "text"]
+        return pa.record_batch([*[batch.column(n) for n in names], pa.array(signed)], names=[*names, "fp"])
 
-    return map_batches(keyed_text(documents, key, text), run, "doc_id long, fp long")
+    return map_batches(keyed, run, schema)
 
 
 def distance(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
@@ -206,11 +212,9 @@ def link_fingerprints(distinct: DataFrame, most: int) -> DataFrame:
     return routed.groupBy("shard").applyInArrow(join, "u long, v long")
 
 
-def near_duplicates(
-    documents: DataFrame, *, shingle: int = 3, most: int = 2, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
-    marked = saved(fingerprints(documents, shingle, key=key, text=text), "fingerprints")
+def _labels(marked: DataFrame, most: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint; root, a fingerprint, names its
+    component, while components whose least ids are equal share component_id."""
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     edges = link_fingerprints(classes, most)
     roots = connected_components(edges)
@@ -218,8 +222,15 @@ def near_duplicates(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     groups = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = joined.join(groups, "root").select("fp", "component_id")
-    return marked.join(labels, "fp").select(
+    return joined.join(groups, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(
+    documents: DataFrame, *, shingle: int = 3, most: int = 2, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
+    marked = saved(fingerprints(documents, shingle, key=key, text=text), "fingerprints")
+    return marked.join(_labels(marked, most), "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -231,12 +242,19 @@ def keep_one_of_each(
 ) -> DataFrame:
     """One row of each component: the one with the least id, of equal ids the one with
     the least text. Rows without an id cannot be named and stay as they are."""
-    found = near_duplicates(documents, shingle=shingle, most=most, key=key, text=text)
-    first = found.groupBy("component_id").agg(F.min("doc_id").alias(key)).select(key)
-    with_id = documents.where(F.col(key).isNotNull()).join(first, key, "left_semi")
-    with_id = with_id.select(*documents.columns)
-    rank = f"rank-{uuid.uuid4().hex}"
-    tie = [F.col(text).asc_nulls_first(), *[F.col(f"`{c}`").cast("string") for c in documents.columns]]
-    numbered = with_id.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*tie)))
-    kept = numbered.where(F.col(f"`{rank}`") == 1).drop(rank)
+    # Rows may share an id, so a row is found again by its id and a digest of its text.
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    keyed = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), digest.alias("digest"))
+    marked = saved(_with_fingerprint(keyed, shingle, "doc_id long, digest string, fp long"), "fingerprints")
+    rows = marked.where(F.col("doc_id").isNotNull()).join(_labels(marked, most), "fp")
+    rows = rows.select("root", "doc_id", "digest")
+    first = rows.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
+    named = rows.join(first, ["root", "doc_id"]).distinct()
+    root, own, name, rank = (f"{x}-{uuid.uuid4().hex}" for x in ("root", "own", "name", "rank"))
+    named = named.select(F.col("root").alias(root), F.col("doc_id").alias(name), F.col("digest").alias(own))
+    met = (F.col(f"`{name}`") == F.col(key)) & (F.col(f"`{own}`") == digest)
+    with_id = documents.join(named, met).select(*documents.columns, F.col(f"`{root}`"))
+    tie = [F.col(key), F.col(text).asc_nulls_first(), *[F.col(f"`{c}`").cast("string") for c in documents.columns]]
+    numbered = with_id.withColumn(rank, F.row_number().over(Window.partitionBy(f"`{root}`").orderBy(*tie)))
+    kept = numbered.where(F.col(f"`{rank}`") == 1).drop(root, rank)
     return kept.unionByName(documents.where(F.col(key).isNull()))

@@ -87,6 +87,17 @@ def test_odd_rows(spark, odd, name):
         assert {r.doc_id: r.n_words for r in got if r.doc_id} == {1: 0, 2: 0, 3: 0, 4: 1, 5: 30_000, 6: 30_000, 7: 6}
 
 
+def test_unlike_documents_that_share_an_id_are_kept_each(spark):
+    one, two, three = (" ".join(f"{x}{k}" for k in range(200)) for x in "abc")
+    rows = [(1, two), (1, one), (1, one), (2, one), (3, two), (4, three), (None, one)]
+    got = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, one), (1, one), (1, two), (4, three)]
+    # The row of id 2 that is a near duplicate of id 1 does not stand for the other row of id 2.
+    rows = [(1, two), (2, two), (2, three)]
+    got = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, two), (2, three)]
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_empty_table(spark, name):
     assert OPERATORS[name](spark.createDataFrame([], SCHEMA), spark).collect() == []
