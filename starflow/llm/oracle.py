@@ -175,9 +175,60 @@ UNION ALL
 """
 
 
+# Phrase collocations, counted from scratch with the fixed cut characters written out.
+PHRASES = """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), p AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+), s AS (
+  SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+  FROM w CROSS JOIN (VALUES (1), (2), (3)) AS k(m)
+), f AS (
+  SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM s GROUP BY ALL
+), n AS (
+  SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang
+), c AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2 AND f >= 10
+), cut AS (
+  SELECT c.*,
+    (SELECT x.f FROM f x WHERE x.lang = c.lang AND x.phrase = c.ws[1]) AS l1,
+    (SELECT x.f FROM f x WHERE x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:2], ' ')) AS l2,
+    (SELECT x.f FROM f x WHERE x.lang = c.lang AND x.phrase = c.ws[c.m]) AS r1,
+    (SELECT x.f FROM f x WHERE x.lang = c.lang AND x.phrase = array_to_string(c.ws[2:3], ' ')) AS r2
+  FROM c
+), scored AS (
+  SELECT *,
+    (1000000::HUGEINT * a * a) // (l1::HUGEINT * (CASE WHEN m = 2 THEN r1 ELSE r2 END)) AS s1,
+    CASE WHEN m = 3 THEN (1000000::HUGEINT * a * a) // (l2::HUGEINT * r1) END AS s2
+  FROM cut
+), chosen AS (
+  SELECT lang, phrase, a,
+    CASE WHEN s2 IS NULL OR s1 <= s2 THEN l1 ELSE l2 END AS l,
+    CASE WHEN s2 IS NULL THEN r1 WHEN s1 <= s2 THEN r2 ELSE r1 END AS r,
+    CASE WHEN s2 IS NULL OR s1 <= s2 THEN s1 ELSE s2 END AS score
+  FROM scored x
+  WHERE NOT (m = 2 AND EXISTS (
+    SELECT 1 FROM c y WHERE y.lang = x.lang AND y.m = 3 AND 2 * y.a >= x.a
+      AND (array_to_string(y.ws[1:2], ' ') = x.phrase OR array_to_string(y.ws[2:3], ' ') = x.phrase)))
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM chosen
+)
+SELECT r.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked r JOIN n ON r.lang = n.lang
+WHERE rank <= 2000
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op3_license_scan": _license_sql(),
         "op6_warc_derivatives": _warc_sql(),
         "op10_quality_rules": QUALITY,
+        "op11_phrase_mining": PHRASES,
     }

@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starflow.llm import (
     decontaminate,
     licenses,
+    merkle,
+    phrases,
     pieces,
     quality,
+    secrets,
     simhash,
     substring,
     suffix,
@@ -70,6 +74,27 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.measure(table(spark, folder, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"), least=10, longest=3, top=2000)
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _lower_every_fifth(df: DataFrame) -> dict[str, Column]:
+    """Rows whose unsigned crc32 of the decimal doc_id is divisible by 5 get A-Z lowered."""
+    chosen = F.crc32(df["doc_id"].cast("string")) % 5 == 0
+    return {"text": F.when(chosen, F.translate(df["text"], UPPER, UPPER.lower())).otherwise(df["text"])}
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"), tamper=_lower_every_fifth)
+
+
+def op13_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -82,4 +107,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_token_counts": op9_token_counts,
         "op10_quality_rules": op10_quality_rules,
+        "op11_phrase_mining": op11_phrase_mining,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_secret_scan": op13_secret_scan,
     }
