@@ -52,7 +52,14 @@ STREAM = "lang string, key array<string>, f long, p1 long, p2 long, ext long, ki
 
 
 def grams(df: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3) -> DataFrame:
-    """One row per phrase occurrence: ``lang`` and ``words`` (1 to ``longest`` words)."""
+    """One row per phrase occurrence: ``lang`` and ``phrase`` (1 to 3 words, space-joined).
+
+    Only array functions without lambdas are used, so the whole generation stays in
+    generated code: a chunk is zipped with its next chunk, its words with themselves
+    shifted by one and two places.
+    """
+    if longest != 3:
+        raise ValueError("phrases hold one to three words")
     lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, UPPER.lower())
     pieces = df.select(
         F.coalesce(F.col(lang), F.lit("und")).alias("lang"),
@@ -61,27 +68,24 @@ def grams(df: DataFrame, text: str = "text", lang: str = "lang", longest: int =
     run = f"{WORD}(?:{SPACE}{WORD}){{0,{CHUNK - 1}}}+"
     chunks = pieces.select("lang", F.regexp_extract_all("piece", F.lit(run), 0).alias("c"))
     paired = chunks.select(
-        "lang",
-        F.explode(F.transform("c", lambda own, i: F.struct(own.alias("own"), F.get(F.col("c"), i + 1).alias("next")))).alias("p"),
+        "lang", F.inline(F.arrays_zip(F.col("c").alias("own"), F.slice("c", 2, F.size("c")).alias("next")))
     )
-    own = F.split(F.col("p.own"), SPACE)
-    tail = F.coalesce(F.slice(F.split(F.col("p.next"), SPACE), 1, longest - 1), F.array().cast("array<string>"))
-    words = paired.select("lang", own.alias("own"), F.concat(own, tail).alias("w"))
-    starts = F.sequence(F.lit(1), F.size("own"))
-    every = F.flatten(F.array(*[_of_length(starts, m) for m in range(1, longest + 1)]))
-    return words.where(F.size("own") > 0).select("lang", F.explode(every).alias("words"))
-
-
-def _of_length(starts: Column, m: int) -> Column:
-    """The phrases of ``m`` words of ``w`` that start at ``starts``."""
-    fits = F.filter(starts, lambda i: i + (m - 1) <= F.size("w"))
-    return F.transform(fits, lambda i: F.slice("w", i, m))
+    own = F.split(F.col("own"), SPACE)
+    tail = F.coalesce(F.slice(F.split(F.col("next"), SPACE), 1, longest - 1), F.array().cast("array<string>"))
+    words = paired.select("lang", F.size(own).alias("n_own"), F.concat(own, tail).alias("w"))
+    shifted = F.arrays_zip(
+        F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b"), F.slice("w", 3, F.size("w")).alias("c")
+    )
+    at = words.select("lang", F.inline(F.slice(shifted, 1, F.col("n_own"))))
+    two = F.when(F.col("b").isNotNull(), F.concat_ws(" ", "a", "b"))
+    three = F.when(F.col("c").isNotNull(), F.concat_ws(" ", "a", "b", "c"))
+    return at.select("lang", F.explode(F.array(F.col("a"), two, three)).alias("phrase")).where("phrase IS NOT NULL")
 
 
 def counts(occurrences: DataFrame) -> DataFrame:
     """``lang``, ``phrase`` (words joined by one space), ``m`` words and count ``f``."""
     return (
-        occurrences.groupBy("lang", F.array_join("words", " ").alias("phrase"))
+        occurrences.groupBy("lang", "phrase")
         .agg(F.count(F.lit(1)).alias("f"))
         .withColumn("m", F.size(F.split("phrase", " ")))
     )
