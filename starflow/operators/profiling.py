@@ -170,3 +170,218 @@ def reference_match(
     return totals.withColumn("match_rate", _match_rate()).select(
         F.lit(name).alias("reference"), "*"
     )
+
+
+def _product(values) -> float:
+    out = 1.0
+    for v in values:
+        out *= v
+    return out
+
+
+def minimal_keys(df: DataFrame, name: str, *, most: int = 3) -> DataFrame:
+    """All minimal keys of up to ``most`` columns: sets unique over all rows, never NULL.
+
+    The search goes level by level over column sets. A set is skipped when it holds a
+    key already found (it would not be minimal) or a column with NULLs; it is ruled out
+    when the sketched distinct counts of its columns multiply to clearly fewer than the
+    rows, or when one pass of distinct-count sketches over all sets of the level
+    (``_SKETCH_ERROR``, margin ``_SKETCH_MARGIN``) says so. The survivors are counted
+    exactly, each by one narrow shuffle. One row per minimal key, its columns in table
+    order; a table without one gives one row with ``key_columns`` NULL and 0 columns.
+    """
+    from itertools import combinations
+
+    columns = df.columns
+    first = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.approx_count_distinct(c, _SKETCH_ERROR).alias(f"d_{i}") for i, c in enumerate(columns)],
+    ).first()
+    rows = first["rows"]
+    usable = [c for i, c in enumerate(columns) if rows > 0 and first[f"n_{i}"] == rows]
+    estimate = {c: first[f"d_{columns.index(c)}"] for c in usable}
+    enough = rows * (1 - _SKETCH_MARGIN)
+    found: list[tuple[str, ...]] = []
+    for size in range(1, most + 1):
+        sets = [
+            s
+            for s in combinations(usable, size)
+            if not any(set(k) <= set(s) for k in found) and _product(estimate[c] for c in s) >= enough
+        ]
+        if size > 1 and sets:
+            sketch = df.agg(
+                *[F.approx_count_distinct(F.struct(*s), _SKETCH_ERROR).alias(f"s_{i}") for i, s in enumerate(sets)]
+            ).first()
+            sets = [s for i, s in enumerate(sets) if sketch[f"s_{i}"] >= enough]
+        if not sets:
+            continue
+        exact = union_all(
+            [
+                df.groupBy(*s).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n").alias("most")).select(
+                    F.lit(i).alias("i"), "most"
+                )
+                for i, s in enumerate(sets)
+            ]
+        ).collect()
+        found += [sets[r["i"]] for r in exact if r["most"] == 1]
+    described = [
+        (name, ", ".join(k), len(k), rows) for k in sorted(found, key=lambda k: [columns.index(c) for c in k])
+    ] or [(name, None, 0, rows)]
+    return df.sparkSession.createDataFrame(
+        described, "table_name string, key_columns string, n_columns int, row_count long"
+    )
+
+
+# Type classes whose values can be compared across tables, and the type they meet in.
+_CLASSES = {
+    "byte": ("exact", "decimal(38,10)"),
+    "short": ("exact", "decimal(38,10)"),
+    "int": ("exact", "decimal(38,10)"),
+    "bigint": ("exact", "decimal(38,10)"),
+    "string": ("string", "string"),
+    "date": ("date", "date"),
+    "timestamp": ("timestamp", "timestamp"),
+}
+BUCKETS = 1 << 20  # size of each parent's one-hash bitmap: a proven bound
+
+
+def type_class(kind) -> tuple[str, str] | None:
+    name = kind.simpleString()
+    if name.startswith("decimal"):
+        return ("exact", "decimal(38,10)")
+    return _CLASSES.get(name)
+
+
+def find_references(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every column whose non-NULL values all lie in a single-column key of a table.
+
+    Parents are the single-column keys (unique, never NULL) that :func:`minimal_keys`
+    finds. A child is any other column of the same type class with a value. Pairs are
+    ruled out, in this order, by the value range (child min and max inside the
+    parent's), then by a one-hash Bloom filter: each parent's set of ``BUCKETS`` hash
+    buckets, each child's likewise, and a child bucket that the parent lacks proves a
+    missing value. Survivors are tested exactly: distinct child values anti-joined
+    with the parent's keys, all survivors of a table in one pass. Values meet in a
+    common type per class, so an integer child and a decimal parent compare by value.
+    """
+    parents, columns = [], []
+    for name, df in tables.items():
+        keys = minimal_keys(df, name, most=1).where("n_columns = 1").collect()
+        for k in keys:
+            if type_class(df.schema[k["key_columns"]].dataType) is not None:
+                parents.append((name, k["key_columns"]))
+        for f in df.schema.fields:
+            if type_class(f.dataType) is not None:
+                columns.append((name, f.name))
+    summaries = []
+    for name, df in tables.items():
+        own = [c for t, c in columns if t == name]
+        if not own:
+            continue
+        common = {c: type_class(df.schema[c].dataType) for c in own}
+        summaries.append(
+            df.agg(
+                *[F.count(c).alias(f"n_{i}") for i, c in enumerate(own)],
+                *[F.min(F.col(c).cast(common[c][1])).cast("string").alias(f"lo_{i}") for i, c in enumerate(own)],
+                *[F.max(F.col(c).cast(common[c][1])).cast("string").alias(f"hi_{i}") for i, c in enumerate(own)],
+            )
+            .select(
+                F.inline(
+                    F.array(
+                        *[
+                            F.struct(
+                                F.lit(name).alias("t"),
+                                F.lit(c).alias("c"),
+                                F.lit(common[c][0]).alias("kind"),
+                                F.col(f"n_{i}").alias("n"),
+                                F.col(f"lo_{i}").alias("lo"),
+                                F.col(f"hi_{i}").alias("hi"),
+                            )
+                            for i, c in enumerate(own)
+                        ]
+                    )
+                )
+            )
+        )
+    if not summaries or not parents:
+        return _no_references(tables)
+    facts = {(r["t"], r["c"]): r for r in union_all(summaries).collect()}  # one row a column
+    pairs = []
+    for pt, pc in parents:
+        parent = facts[(pt, pc)]
+        for ct, cc in columns:
+            child = facts[(ct, cc)]
+            if (ct, cc) == (pt, pc) or child["kind"] != parent["kind"] or child["n"] == 0:
+                continue
+            if _before(child["lo"], parent["lo"], child["kind"]) or _before(parent["hi"], child["hi"], child["kind"]):
+                continue
+            pairs.append((ct, cc, pt, pc))
+    if not pairs:
+        return _no_references(tables)
+    spark = next(iter(tables.values())).sparkSession
+    used = sorted({(t, c) for ct, cc, pt, pc in pairs for t, c in ((ct, cc), (pt, pc))})
+    buckets = union_all([_buckets(tables[t], t, c) for t, c in used]).distinct()
+    candidates = spark.createDataFrame(pairs, "child_table string, child_column string, parent_table string, parent_column string")
+    child_b = buckets.select(F.col("t").alias("child_table"), F.col("c").alias("child_column"), "b")
+    parent_b = buckets.select(F.col("t").alias("parent_table"), F.col("c").alias("parent_column"), "b", F.lit(True).alias("_in"))
+    misses = (
+        candidates.join(child_b, ["child_table", "child_column"])
+        .join(parent_b, ["parent_table", "parent_column", "b"], "left")
+        .groupBy("child_table", "child_column", "parent_table", "parent_column")
+        .agg(F.count(F.when(F.col("_in").isNull(), 1)).alias("missing"))
+    )
+    survivors = [tuple(r)[:4] for r in misses.where("missing = 0").collect()]
+    found = []
+    for ct in sorted({s[0] for s in survivors}):
+        own = [s for s in survivors if s[0] == ct]
+        each = [
+            F.struct(F.lit(i).alias("pair"), _common(tables[ct], cc).cast("string").alias("v"))
+            for i, (_, cc, _, _) in enumerate(own)
+        ]
+        values = tables[ct].select(F.inline(F.array(*each))).where("v IS NOT NULL").distinct()
+        known = union_all(
+            [
+                tables[pt].select(F.lit(i).alias("pair"), _common(tables[pt], pc).cast("string").alias("v"))
+                for i, (_, _, pt, pc) in enumerate(own)
+            ]
+        )
+        counted = values.join(known.withColumn("_in", F.lit(True)), ["pair", "v"], "left").groupBy("pair").agg(
+            F.count(F.lit(1)).alias("distinct_keys"), F.count(F.when(F.col("_in").isNull(), 1)).alias("missing")
+        )
+        for r in counted.where("missing = 0").collect():
+            found.append((*own[r["pair"]], r["distinct_keys"]))
+    return spark.createDataFrame(
+        sorted(found),
+        "child_table string, child_column string, parent_table string, parent_column string, distinct_keys long",
+    )
+
+
+def _no_references(tables: Mapping[str, DataFrame]) -> DataFrame:
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(
+        [], "child_table string, child_column string, parent_table string, parent_column string, distinct_keys long"
+    )
+
+
+def _common(df: DataFrame, column: str) -> Column:
+    return F.col(column).cast(type_class(df.schema[column].dataType)[1])
+
+
+def _buckets(df: DataFrame, table: str, column: str) -> DataFrame:
+    """The hash buckets that the non-NULL values of a column fall in (at most ``BUCKETS``)."""
+    value = _common(df, column)
+    return (
+        df.where(value.isNotNull())
+        .select(F.lit(table).alias("t"), F.lit(column).alias("c"), F.pmod(F.xxhash64(value), F.lit(BUCKETS)).alias("b"))
+        .distinct()
+    )
+
+
+def _before(a: str, b: str, kind: str) -> bool:
+    """Whether value ``a`` sorts before ``b`` (both as written by a cast to string)."""
+    if kind == "exact":
+        from decimal import Decimal
+
+        return Decimal(a) < Decimal(b)
+    return a < b

@@ -323,6 +323,89 @@ def _columns_profile(*extra: str) -> str:
     return _stacked(selects)
 
 
+# The columns of the test tables and the class their values compare in
+# across tables (exact numbers, strings, timestamps; '-' for none).
+_CLASSED = {
+    "region": "r_regionkey:exact r_name:string",
+    "nation": "n_nationkey:exact n_name:string n_regionkey:exact",
+    "customer": "c_custkey:exact c_name:string c_nationkey:exact c_acctbal:- c_mktsegment:string",
+    "supplier": "s_suppkey:exact s_name:string s_nationkey:exact s_acctbal:-",
+    "part": "p_partkey:exact p_name:string p_brand:string p_type:string p_size:exact p_retailprice:-",
+    "orders": "o_orderkey:exact o_custkey:exact o_orderstatus:string o_totalprice:- "
+    "o_orderdate:timestamp o_orderpriority:string",
+    "lineitem": "l_orderkey:exact l_partkey:exact l_suppkey:exact l_linenumber:exact l_quantity:- "
+    "l_extendedprice:- l_discount:- l_tax:- l_returnflag:string l_linestatus:string l_shipdate:timestamp",
+    "events": "event_id:exact ts:timestamp user_id:exact event_type:string value:- props:string",
+    "documents": "doc_id:exact text:string lang:string source:string n_chars:exact",
+    "embeddings": "vec_id:exact embedding:- label:exact",
+    "pages": "page_id:exact url:string html:string",
+    "benchmark": "item_id:exact text:string",
+    "labels": "doc_id:exact quality:exact toxic:exact",
+    "conversations": "conv_id:exact turn:exact role:string text:string",
+}
+_MEET = {"exact": "DECIMAL(38,10)", "string": "VARCHAR", "timestamp": "TIMESTAMP"}
+
+
+def _columns_of(table: str) -> list[tuple[str, str]]:
+    return [tuple(x.split(":")) for x in _CLASSED[table].split()]
+
+
+def _is_key(table: str, columns: tuple[str, ...]) -> str:
+    filled = " AND ".join(f"count({c}) = count(*)" for c in columns)
+    listed = ", ".join(columns)
+    return (
+        f"(SELECT count(*) > 0 AND {filled} AND count(*) = "
+        f"(SELECT count(*) FROM (SELECT DISTINCT {listed} FROM {table})) FROM {table})"
+    )
+
+
+def _minimal_keys_sql(most: int = 3) -> str:
+    """Every set of up to ``most`` columns tested; a key is listed when no subset is one."""
+    from itertools import combinations
+
+    selects = []
+    for table in _CLASSED:
+        names = [c for c, _ in _columns_of(table)]
+        sets = [s for k in range(1, most + 1) for s in combinations(names, k)]
+        flag = {s: f"k{i}" for i, s in enumerate(sets)}
+        flags = ", ".join(f"{_is_key(table, s)} AS {flag[s]}" for s in sets)
+        rows = f"(SELECT count(*) FROM {table})"
+        for s in sets:
+            smaller = [flag[x] for k in range(1, len(s)) for x in combinations(s, k)]
+            lesser = "".join(f" AND NOT {f}" for f in smaller)
+            selects.append(
+                f"SELECT '{table}' AS table_name, '{', '.join(s)}' AS key_columns, {len(s)} AS n_columns, "
+                f"{rows} AS row_count FROM flags_{table} WHERE {flag[s]}{lesser}"
+            )
+        selects.append(
+            f"SELECT '{table}' AS table_name, NULL AS key_columns, 0 AS n_columns, {rows} AS row_count "
+            f"FROM flags_{table} WHERE NOT ({' OR '.join(flag.values())})"
+        )
+        selects[-len(sets) - 1] = f"SELECT * FROM (WITH flags_{table} AS MATERIALIZED (SELECT {flags}) " + selects[-len(sets) - 1]
+        selects[-1] += ")"
+    return _stacked(selects)
+
+
+def _references_sql() -> str:
+    """Every pair of columns of one class where the parent is a key holding all child values."""
+    parents = [(t, c, k) for t in _CLASSED for c, k in _columns_of(t) if k != "-"]
+    flags = ", ".join(f"{_is_key(t, (c,))} AS key_{t}_{c}" for t, c, _ in parents)
+    selects = []
+    for pt, pc, kind in parents:
+        for ct, cc, other in parents:
+            if kind != other or (ct, cc) == (pt, pc):
+                continue
+            meet = _MEET[kind]
+            selects.append(
+                f"SELECT '{ct}' AS child_table, '{cc}' AS child_column, '{pt}' AS parent_table, "
+                f"'{pc}' AS parent_column, (SELECT count(DISTINCT CAST({cc} AS {meet})) FROM {ct}) AS distinct_keys "
+                f"FROM keys WHERE key_{pt}_{pc} AND (SELECT count({cc}) FROM {ct}) > 0 AND NOT EXISTS "
+                f"(SELECT CAST({cc} AS {meet}) FROM {ct} WHERE {cc} IS NOT NULL "
+                f"EXCEPT SELECT CAST({pc} AS {meet}) FROM {pt})"
+            )
+    return f"WITH keys AS (SELECT {flags})\n" + _stacked(selects)
+
+
 # Columns of the test tables that the key profile covers.
 _PROFILED = {
     "region": "r_regionkey r_name",
@@ -594,6 +677,8 @@ def _bodies() -> dict[str, str]:
             ]
         ),
         "profile_fk_inclusion": _stacked([_reference(*r) for r in _REFERENCES]),
+        "profile_minimal_keys": _minimal_keys_sql(),
+        "profile_references": _references_sql(),
         "check_grain_unique": _stacked(
             [_grain(f.name, f"fact_{f.name}", f.grain) for f in FACTS.values()]
             + [_grain("lineitem", "lineitem", "l_orderkey, l_linenumber")]

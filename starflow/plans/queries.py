@@ -304,6 +304,22 @@ def profile_candidate_key(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def profile_minimal_keys(spark: SparkSession, folder: str) -> DataFrame:
+    bindings = Bindings(spark, folder)
+    return checks.union_all([profiling.minimal_keys(bindings.table(n), n, most=3) for n in TABLES])
+
+
+def profile_references(spark: SparkSession, folder: str) -> DataFrame:
+    bindings = Bindings(spark, folder)
+    return profiling.find_references({n: bindings.table(n) for n in TABLES})
+
+
 def profile_fk_inclusion(spark: SparkSession, folder: str) -> DataFrame:
     s = _sources(spark, folder)
     references = (
@@ -551,6 +567,8 @@ def all_queries() -> dict[str, Query]:
         "profile_columns": profile_columns,
         "profile_candidate_key": profile_candidate_key,
         "profile_fk_inclusion": profile_fk_inclusion,
+        "profile_minimal_keys": profile_minimal_keys,
+        "profile_references": profile_references,
         "check_grain_unique": check_grain_unique,
         "check_repeated_grain": check_repeated_grain,
         "check_join_miss": check_join_miss,
