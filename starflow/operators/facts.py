@@ -107,3 +107,79 @@ def _source_columns(spec: FactSpec, keep: tuple[str, ...]) -> list[str]:
     return list(
         dict.fromkeys([spec.grain, *fks, *keep, *spec.carried, *spec.measure_names])
     )
+
+
+def _day_number(value: Column) -> Column:
+    return F.datediff(F.to_date(value), F.lit("1970-01-01").cast("date"))
+
+
+def as_of_lookup(
+    rows: DataFrame,
+    versions: DataFrame,
+    fk: str,
+    day: str,
+    key: str,
+    sk: str,
+    *,
+    begin: str = "begin_date",
+    end: str = "end_date",
+    most_buckets: int = 64,
+    hot_share: float = 1e-3,
+    salts: int = 16,
+) -> DataFrame:
+    """``rows`` with ``sk`` of the version whose half-open [begin, end) holds the row's day.
+
+    A point-in-time lookup, beside the current-version one of :func:`load_fact`: each
+    row meets the version of its key that was valid on its own ``day``. It is an
+    equi-join on (key, day bucket, salt) with the interval as a further condition, so
+    no key meets all of its versions at once and nothing is crossed:
+
+    - the rows' days span at most ``most_buckets`` buckets; a version is copied into
+      the buckets it overlaps within that span, and versions outside it are dropped;
+    - a key that holds at least ``hot_share`` of the rows (so at most 1 / hot_share
+      keys, the bound of the list that reaches the driver) is split further: its rows
+      are dealt to ``salts`` parts by a hash of the row, and its versions copied to
+      each part.
+
+    Rows whose key or day is NULL, or whose key has no version valid that day, get
+    NULL. Versions of one key must not overlap (the history dimension guarantees it);
+    otherwise a row would meet each.
+    """
+    d = _day_number(F.col(day))
+    stats = rows.agg(F.min(d).alias("lo"), F.max(d).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    lo, hi, n = stats["lo"], stats["hi"], stats["n"]
+    if lo is None:
+        return rows.withColumn(sk, F.lit(None).cast(versions.schema[sk].dataType))
+    width = max(1, -(-(hi - lo + 1) // most_buckets))
+    per_key = rows.groupBy(fk).agg(F.count(F.lit(1)).alias("__n"))
+    hot = [r[0] for r in per_key.where(F.col("__n") >= max(1.0, n * hot_share)).where(F.col(fk).isNotNull()).collect()]
+    is_hot = F.col(fk).isin(hot) if hot else F.lit(False)
+
+    def bucket(value: Column) -> Column:
+        return F.floor((value - F.lit(lo)) / F.lit(width))
+
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts))).otherwise(0)
+    tagged = rows.withColumns({"__d": d, "__b": bucket(d), "__s": salt})
+    vb, ve = _day_number(F.col(begin)), _day_number(F.col(end))
+    span = versions.select(F.col(key).alias("__k"), F.col(sk).alias("__sk"), vb.alias("__vb"), ve.alias("__ve"))
+    span = span.where((F.col("__ve") > lo) & (F.col("__vb") <= hi))
+    first = bucket(F.greatest(F.col("__vb"), F.lit(lo)))
+    last = bucket(F.least(F.col("__ve") - 1, F.lit(hi)))
+    hot_versions = F.col("__k").isin(hot) if hot else F.lit(False)
+    copies = span.select(
+        "*",
+        F.explode(F.sequence(first, last)).alias("__vbk"),
+    ).select(
+        "*",
+        F.explode(F.when(hot_versions, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("__vs"),
+    )
+    joined = tagged.join(
+        copies,
+        (F.col(fk) == F.col("__k"))
+        & (F.col("__b") == F.col("__vbk"))
+        & (F.col("__s") == F.col("__vs"))
+        & (F.col("__vb") <= F.col("__d"))
+        & (F.col("__d") < F.col("__ve")),
+        "left",
+    )
+    return joined.select(*[tagged[c] for c in rows.columns], F.col("__sk").alias(sk))

@@ -606,6 +606,13 @@ def _bodies() -> dict[str, str]:
                      + l_partkey * 1000 + l_linenumber AS DECIMAL(38,0)) AS k
                 FROM lineitem)""",
         "scd2_current_slice": "SELECT * FROM merged_user_08_r WHERE is_active = 1",
+        "fact_orders_point_in_time": f"""
+            SELECT o.order_id, o.user_id, o.event_day, coalesce(u.user_sk, -1) AS user_sk
+            FROM (SELECT order_id, user_id,
+                         CASE order_id % 3 WHEN 0 THEN '{D1}' WHEN 1 THEN '{D2}' ELSE '{D3}' END AS event_day
+                  FROM order_info) o
+            LEFT JOIN merged_user_09_r u
+              ON o.user_id = u.user_id AND u.begin_date <= o.event_day AND o.event_day < u.end_date""",
         "scd2_valid_on_day1": f"""
             SELECT * FROM merged_user_09_r
             WHERE begin_date <= '{D1}' AND end_date > '{D1}'""",

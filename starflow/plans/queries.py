@@ -23,7 +23,7 @@ from starflow.operators.dimensions import (
     scd2_merge,
     scd2_new,
 )
-from starflow.operators.facts import current_slice, derive_difference, load_fact
+from starflow.operators.facts import UNKNOWN_SK, as_of_lookup, current_slice, derive_difference, load_fact
 from starflow.operators.keys import dense_key
 from starflow.operators.quality import quality_summary
 from starflow.operators.summaries import daily_average, period_end, summarise
@@ -257,6 +257,18 @@ def derived_discount(spark: SparkSession, folder: str) -> DataFrame:
     return derived.select("order_id", "discount_amount", "derived", agrees.alias("agrees"))
 
 
+def fact_orders_point_in_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders, each on a day of the three, against the user version valid that day.
+
+    The history is the one after day 3; an order's day is day 1, 2 or 3 by its id.
+    """
+    retail = Retail(spark, folder, 3)
+    days = F.element_at(F.array(*[F.lit(DAYS[d]) for d in (1, 2, 3)]), (F.col("order_id") % 3 + 1).cast("int"))
+    orders = retail.landed("order_info").select("order_id", "user_id", days.alias("event_day"))
+    found = as_of_lookup(orders, retail.dim("user"), "user_id", "event_day", "user_id", "user_sk")
+    return found.withColumn("user_sk", F.coalesce("user_sk", F.lit(UNKNOWN_SK).cast("long")))
+
+
 def stock_period_end(spark: SparkSession, folder: str) -> DataFrame:
     stock = Retail(spark, folder).landed("stock_info")
     return period_end(stock, ["shop_id", "sku_id"], "stock_num", ["update_time", "id"])
@@ -567,6 +579,7 @@ def all_queries() -> dict[str, Query]:
         "profile_columns": profile_columns,
         "profile_candidate_key": profile_candidate_key,
         "profile_fk_inclusion": profile_fk_inclusion,
+        "fact_orders_point_in_time": fact_orders_point_in_time,
         "profile_minimal_keys": profile_minimal_keys,
         "profile_references": profile_references,
         "check_grain_unique": check_grain_unique,
