@@ -83,12 +83,20 @@ def grams(df: DataFrame, text: str = "text", lang: str = "lang", longest: int =
 
 
 def counts(occurrences: DataFrame) -> DataFrame:
-    """``lang``, ``phrase`` (words joined by one space), ``m`` words and count ``f``."""
-    return (
-        occurrences.groupBy("lang", "phrase")
-        .agg(F.count(F.lit(1)).alias("f"))
-        .withColumn("m", F.size(F.split("phrase", " ")))
-    )
+    """``lang``, ``phrase`` (words joined by one space), ``m`` words and count ``f``.
+
+    The shuffle carries one string a row: the length of the language, a colon, the
+    language and the phrase, which is taken apart after the count.
+    """
+    key = F.concat(F.char_length("lang").cast("string"), F.lit(":"), F.col("lang"), F.col("phrase"))
+    counted = occurrences.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("f"))
+    size = F.split_part(F.col("_key"), F.lit(":"), F.lit(1)).cast("int")
+    at = F.char_length(size.cast("string")) + 2
+    return counted.select(
+        F.substring(F.col("_key"), at, size).alias("lang"),
+        F.expr("substring(_key, char_length(split_part(_key, ':', 1)) + 2 + int(split_part(_key, ':', 1)))").alias("phrase"),
+        "f",
+    ).withColumn("m", F.size(F.split("phrase", " ")))
 
 
 def _stream_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +214,9 @@ def collocations(
     """Per language the ``top`` collocations: lang, rank, phrase, a, l, r, n, score."""
     if longest != 3:
         raise ValueError("the streams hold prefixes of one and two words: longest is 3")
-    counted = saved(counts(grams(df, text, lang, longest)), "phrases-counts")
+    # Tasks of a quarter of an input split keep their partial counts in memory.
+    dealt = df.select(text, lang).repartition(4 * max(1, df.rdd.getNumPartitions()))
+    counted = saved(counts(grams(dealt, text, lang, longest)), "phrases-counts")
     totals = counted.where("m = 1").groupBy("lang").agg(F.sum("f").alias("n"))
     kept = counted.where(F.col("f") >= least)
     left = annotated(kept, reverse=False).where("m >= 2")
