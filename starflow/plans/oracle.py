@@ -406,6 +406,24 @@ def _references_sql() -> str:
     return f"WITH keys AS (SELECT {flags})\n" + _stacked(selects)
 
 
+def _changes_sql() -> str:
+    """Changes of landed users and SKUs between consecutive days, column by column."""
+    selects = []
+    for table, key in (("user_info", "user_id"), ("sku_info", "sku_id")):
+        others = [c for c in SOURCES[table].names if c != key]
+        for day in (1, 2):
+            old, new = _landed(table, day), _landed(table, day + 1)
+            differs = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in others)
+            selects.append(
+                f"SELECT '{table}' AS table_name, '{DAYS[day]}' AS from_day, '{DAYS[day + 1]}' AS to_day, "
+                f"coalesce(a.{key}, b.{key}) AS key, CASE WHEN a.{key} IS NULL THEN 'inserted' "
+                f"WHEN b.{key} IS NULL THEN 'gone' ELSE 'changed' END AS change "
+                f"FROM {old} a FULL JOIN {new} b ON a.{key} = b.{key} "
+                f"WHERE a.{key} IS NULL OR b.{key} IS NULL OR {differs}"
+            )
+    return _stacked(selects)
+
+
 # Columns of the test tables that the key profile covers.
 _PROFILED = {
     "region": "r_regionkey r_name",
@@ -685,6 +703,7 @@ def _bodies() -> dict[str, str]:
         ),
         "profile_fk_inclusion": _stacked([_reference(*r) for r in _REFERENCES]),
         "profile_minimal_keys": _minimal_keys_sql(),
+        "extract_changes": _changes_sql(),
         "profile_references": _references_sql(),
         "check_grain_unique": _stacked(
             [_grain(f.name, f"fact_{f.name}", f.grain) for f in FACTS.values()]

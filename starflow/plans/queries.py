@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflow.operators import checks, profiling
+from starflow.operators.changes import copy_changes
 from starflow.operators.dimensions import (
     scd1_load,
     scd2_as_of,
@@ -269,6 +270,27 @@ def fact_orders_point_in_time(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("user_sk", F.coalesce("user_sk", F.lit(UNKNOWN_SK).cast("long")))
 
 
+def extract_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What changed in the published landed users and SKUs from day to day, 1 to 3."""
+    retail = Retail(spark, folder, 3)
+    parts = []
+    for table in ("user_info", "sku_info"):
+        for day in (1, 2):
+            found = copy_changes(
+                retail.landed(table, day), retail.landed(table, day + 1), KEYS[table], columns=SOURCES[table].names
+            )
+            parts.append(
+                found.select(
+                    F.lit(table).alias("table_name"),
+                    F.lit(DAYS[day]).alias("from_day"),
+                    F.lit(DAYS[day + 1]).alias("to_day"),
+                    F.col(KEYS[table]).alias("key"),
+                    "change",
+                )
+            )
+    return checks.union_all(parts)
+
+
 def stock_period_end(spark: SparkSession, folder: str) -> DataFrame:
     stock = Retail(spark, folder).landed("stock_info")
     return period_end(stock, ["shop_id", "sku_id"], "stock_num", ["update_time", "id"])
@@ -580,6 +602,7 @@ def all_queries() -> dict[str, Query]:
         "profile_candidate_key": profile_candidate_key,
         "profile_fk_inclusion": profile_fk_inclusion,
         "fact_orders_point_in_time": fact_orders_point_in_time,
+        "extract_changes": extract_changes,
         "profile_minimal_keys": profile_minimal_keys,
         "profile_references": profile_references,
         "check_grain_unique": check_grain_unique,
