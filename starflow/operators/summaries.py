@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starflow.operators.facts import current_slice
@@ -93,3 +93,36 @@ def daily_average(df: DataFrame, keys: list[str], measure: str, day: str) -> Dat
     daily = df.groupBy(*keys, day).agg(F.sum(measure).alias("__day_total"))
     mean = F.avg("__day_total").cast("decimal(18,2)")
     return daily.groupBy(*keys).agg(mean.alias(f"{measure}_daily_avg"))
+
+
+def carried_daily(
+    df: DataFrame, keys: list[str], measure: str, day: str, first: str, last: str
+) -> DataFrame:
+    """A semi-additive measure over every calendar day of [first, last], per key.
+
+    Daily totals are summed; a day without a row carries the last known total, also
+    one from before ``first``. A key appears once it has a row on or before ``last``;
+    days before its first row have no value and are left out of the mean. Returns the
+    mean over the days with a value and the value at ``last``. Each key holds at most
+    the period's days in the window, so a hot key cannot grow a task.
+    """
+    daily = df.where(F.col(day) <= last).groupBy(*keys, F.col(day).alias("__d")).agg(
+        F.sum(measure).alias("__total")
+    )
+    before = daily.where(F.col("__d") < first).groupBy(*keys).agg(
+        F.max_by("__total", "__d").alias("__total")
+    ).withColumn("__d", F.lit(None).cast("string"))
+    inside = daily.where(F.col("__d") >= first)
+    days = F.transform(F.sequence(F.to_date(F.lit(first)), F.to_date(F.lit(last))), lambda d: d.cast("string"))
+    spine = daily.select(*keys).distinct().select(
+        *keys, F.explode(days).alias("__d"), F.lit(None).cast(inside.schema["__total"].dataType).alias("__total")
+    )
+    seen = inside.unionByName(before).unionByName(spine)
+    per_day = seen.groupBy(*keys, "__d").agg(F.max("__total").alias("__total"))
+    order = Window.partitionBy(*keys).orderBy(F.col("__d").asc_nulls_first())
+    carried = per_day.withColumn("__v", F.last("__total", ignorenulls=True).over(order))
+    spined = carried.where(F.col("__d").isNotNull())
+    return spined.groupBy(*keys).agg(
+        F.avg("__v").cast("decimal(18,2)").alias(f"{measure}_mean"),
+        F.max_by("__v", "__d").cast("long").alias(f"{measure}_at_end"),
+    )

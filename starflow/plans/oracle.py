@@ -424,6 +424,23 @@ def _changes_sql() -> str:
     return _stacked(selects)
 
 
+def _carried_week_sql(first: str = "1998-06-01", last: str = "1998-06-07") -> str:
+    """Every day of the week per (shop, SKU), valued by its last total on or before it."""
+    daily = f"""(SELECT shop_id, sku_id, update_time AS d, sum(stock_num) AS total
+        FROM stock_info WHERE update_time <= '{last}' GROUP BY ALL)"""
+    return f"""
+        SELECT shop_id, sku_id, CAST(avg(v) AS DECIMAL(18,2)) AS stock_num_mean,
+               CAST(max(CASE WHEN d = '{last}' THEN v END) AS BIGINT) AS stock_num_at_end
+        FROM (
+          SELECT g.shop_id, g.sku_id, g.d,
+            (SELECT total FROM {daily} x WHERE x.shop_id = g.shop_id AND x.sku_id = g.sku_id
+               AND x.d <= g.d ORDER BY x.d DESC LIMIT 1) AS v
+          FROM (SELECT k.shop_id, k.sku_id, strftime(x, '%Y-%m-%d') AS d
+                FROM (SELECT DISTINCT shop_id, sku_id FROM {daily}) k,
+                     range(DATE '{first}', DATE '{last}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(x)) g
+        ) GROUP BY shop_id, sku_id"""
+
+
 # Columns of the test tables that the key profile covers.
 _PROFILED = {
     "region": "r_regionkey r_name",
@@ -704,6 +721,7 @@ def _bodies() -> dict[str, str]:
         "profile_fk_inclusion": _stacked([_reference(*r) for r in _REFERENCES]),
         "profile_minimal_keys": _minimal_keys_sql(),
         "extract_changes": _changes_sql(),
+        "stock_carried_week": _carried_week_sql(),
         "profile_references": _references_sql(),
         "check_grain_unique": _stacked(
             [_grain(f.name, f"fact_{f.name}", f.grain) for f in FACTS.values()]

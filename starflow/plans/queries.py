@@ -27,7 +27,7 @@ from starflow.operators.dimensions import (
 from starflow.operators.facts import UNKNOWN_SK, as_of_lookup, current_slice, derive_difference, load_fact
 from starflow.operators.keys import dense_key
 from starflow.operators.quality import quality_summary
-from starflow.operators.summaries import daily_average, period_end, summarise
+from starflow.operators.summaries import carried_daily, daily_average, period_end, summarise
 from starflow.plans.bindings import DAYS, LINE_ORDER, Bindings
 from starflow.plans.model import DIMS, FACTS, SUMMARIES
 from starflow.plans.schemas import KEYS, SOURCES, landed_name
@@ -296,6 +296,15 @@ def stock_period_end(spark: SparkSession, folder: str) -> DataFrame:
     return period_end(stock, ["shop_id", "sku_id"], "stock_num", ["update_time", "id"])
 
 
+STOCK_PERIOD = ("1998-06-01", "1998-06-07")
+
+
+def stock_carried_week(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock per shop and SKU on every day of a week, empty days carrying the last level."""
+    stock = Retail(spark, folder).landed("stock_info")
+    return carried_daily(stock, ["shop_id", "sku_id"], "stock_num", "update_time", *STOCK_PERIOD)
+
+
 def stock_daily_average(spark: SparkSession, folder: str) -> DataFrame:
     stock = Retail(spark, folder).landed("stock_info")
     return daily_average(stock, ["shop_id", "sku_id"], "stock_num", "update_time")
@@ -603,6 +612,7 @@ def all_queries() -> dict[str, Query]:
         "profile_fk_inclusion": profile_fk_inclusion,
         "fact_orders_point_in_time": fact_orders_point_in_time,
         "extract_changes": extract_changes,
+        "stock_carried_week": stock_carried_week,
         "profile_minimal_keys": profile_minimal_keys,
         "profile_references": profile_references,
         "check_grain_unique": check_grain_unique,
