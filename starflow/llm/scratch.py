@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where unset."""
+    """``spark.checkpoint.dir`` of the session, which driver and executors share.
+
+    A session without one is refused: a folder on the driver's own disk would not be
+    the one the executors write to, and rows would be lost without an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if held.isDefined():
-            return held.get()
-        root = f"file:{tempfile.mkdtemp(prefix='starflow-')}"
-        spark.sparkContext.setCheckpointDir(root)
-        return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return root
+    if root:
+        return root
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
 
 
 def saved(df: DataFrame, name: str, *, compression: str = "zstd") -> DataFrame:
