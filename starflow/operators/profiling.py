@@ -122,7 +122,7 @@ def reference_matches(
             F.struct(
                 F.lit(f"{child}.{fk}").alias("reference"),
                 F.lit(p).alias("parent"),
-                F.col(fk).cast("string").alias("k"),
+                _comparable(children[child], fk).alias("k"),
             )
             for fk, p in own
         ]
@@ -130,7 +130,7 @@ def reference_matches(
         counted.append(rows.groupBy("reference", "parent", "k").agg(F.count(F.lit(1)).alias("__n")))
     for name in dict.fromkeys(p for _, _, p in references):
         table, key = parents[name]
-        keys = table.select(F.lit(name).alias("parent"), F.col(key).cast("string").alias("k"))
+        keys = table.select(F.lit(name).alias("parent"), _comparable(table, key).alias("k"))
         known.append(keys.where("k IS NOT NULL").distinct())
     known_keys = union_all(known).withColumn("__found", F.lit(True))
     joined = union_all(counted).join(known_keys, ["parent", "k"], "left")
@@ -145,6 +145,13 @@ def reference_matches(
     return totals.withColumn("match_rate", _match_rate())
 
 
+def _comparable(df: DataFrame, column: str) -> Column:
+    """A key as text after a cast to its class's common type, so 7 and 7.0000000000 meet."""
+    known = type_class(df.schema[column].dataType)
+    value = F.col(column).cast(known[1]) if known else F.col(column)
+    return value.cast("string")
+
+
 def _match_rate() -> Column:
     asked = F.col("child_rows") - F.col("null_rows")
     share = F.col("matched_rows").cast("double") / asked.cast("double")

@@ -131,12 +131,13 @@ def read_jdbc(
     return load(**range_options(table, split_on, low, high, splits))
 
 
-# A database's own hash of a text column.
+# A database's own hash of a text column. Hashes of 32 bits are widened
+# before ABS, which overflows on the smallest value.
 HASHES = {
     "mysql": "MOD(CRC32({column}), {n})",
-    "postgresql": "MOD(ABS(HASHTEXT(CAST({column} AS TEXT))), {n})",
+    "postgresql": "MOD(ABS(CAST(HASHTEXT(CAST({column} AS TEXT)) AS BIGINT)), {n})",
     "oracle": "ORA_HASH({column}, {n} - 1)",
-    "sqlserver": "ABS(CHECKSUM({column})) % {n}",
+    "sqlserver": "ABS(CAST(CHECKSUM({column}) AS BIGINT)) % {n}",
 }
 
 

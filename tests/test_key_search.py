@@ -72,3 +72,12 @@ def test_references_have_recall_one_against_all_pairs(spark):
                     if (ct, cc) != (pt, pc) and cv and cv <= set(pv):
                         want.add((ct, cc, pt, pc))
     assert got == want and want
+
+
+def test_reference_matches_meet_across_number_types(spark):
+    from starflow.operators.profiling import reference_matches
+
+    child = spark.createDataFrame([(i,) for i in range(10)], "fk bigint")
+    parent = spark.createDataFrame([(Decimal(i),) for i in range(10)], "k decimal(38,10)")
+    (r,) = reference_matches({"c": child}, {"p": (parent, "k")}, [("c", "fk", "p")]).collect()
+    assert (r.matched_rows, r.unmatched_keys) == (10, 0)
