@@ -63,7 +63,12 @@ def read_partition(
     fmt: str = FORMAT,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """One day's rows; only that directory is listed. The day stays a string."""
+    """One day's rows; only that directory is listed. The day stays a string.
+
+    A day whose replacement was cut off between its two renames is put back first; a
+    day that is not there at all raises.
+    """
+    _heal(spark, root, day, column)
     reader = spark.read.format(fmt)
     if schema is not None:
         kept = [f for f in schema.fields if f.name != column]
@@ -75,7 +80,12 @@ def read_partition(
 def read_table(
     spark: SparkSession, root: str, schema: StructType, *, fmt: str = FORMAT
 ) -> DataFrame:
-    """Every day of a table. Filter on the partition column to prune directories."""
+    """Every day of a table. Filter on the partition column to prune directories.
+
+    Days whose replacement was cut off between its two renames are put back first, so
+    none of them reads as absent.
+    """
+    partitions(spark, root)
     return spark.read.format(fmt).schema(schema).load(root)
 
 
@@ -172,6 +182,16 @@ def _files(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def _heal(spark: SparkSession, root: str, day: str, column: str) -> None:
+    """Put back the day set aside by a swap that was cut off before its second rename."""
+    files, final = _files(spark, partition_path(root, day, column))
+    if files.exists(final):
+        return
+    aside = _set_aside(root, day, column)
+    if files.exists(_files(spark, aside)[1]):
+        _rename(spark, aside, partition_path(root, day, column))
+
+
 def _set_aside(root: str, day: str, column: str) -> str:
     return f"{root.rstrip('/')}/.old-{column}={day}"
 

@@ -67,6 +67,15 @@ def test_a_swap_cut_off_midway_is_put_back(spark, tmp_path):
     assert read_partition(spark, str(root), "2026-01-01").count() == 5
 
 
+def test_every_reader_puts_a_cut_off_swap_back(spark, tmp_path):
+    root = tmp_path / "t"
+    publish(spark.range(5), str(root), "2026-01-01")
+    (root / "pt=2026-01-01").rename(root / ".old-pt=2026-01-01")
+    assert read_partition(spark, str(root), "2026-01-01").count() == 5
+    (root / "pt=2026-01-01").rename(root / ".old-pt=2026-01-01")
+    assert read_table(spark, str(root), StructType.fromDDL("id bigint, pt string")).count() == 5
+
+
 def test_run_folders_can_be_discarded(spark):
     kept = materialise(spark.range(3)).inputFiles()[0]
     discard_runs(spark)
