@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -228,3 +229,21 @@ def test_range_options_cover_the_last_key():
     got = range_options("t", "id", 3, 9, 4)
     assert got["lowerBound"] == "3" and got["upperBound"] == "10"
     assert got["numPartitions"] == "4" and got["partitionColumn"] == "id"
+
+
+def test_landing_refuses_values_a_cast_would_change(spark):
+    cases = [
+        ("v double", (1.7,), "v int"),
+        ("v decimal(10,3)", (Decimal("12.345"),), "v decimal(16,2)"),
+        ("v timestamp", (datetime(2026, 1, 1, 5, 0),), "v date"),
+        ("v string", ("1.7",), "v int"),
+    ]
+    for given, row, wanted in cases:
+        src = spark.createDataFrame([row], given)
+        with pytest.raises(PySparkException, match="cannot hold"):
+            land_snapshot(src, StructType.fromDDL(wanted), "d").collect()
+    src = spark.createDataFrame([(1.7,)], "v double")
+    assert land_snapshot(src, StructType.fromDDL("v int"), "d", rounding=("v",)).first().v == 1
+    kept = spark.createDataFrame([(2.0, Decimal("12.300"), "12.340")], "a double, b decimal(10,3), c string")
+    row = land_snapshot(kept, StructType.fromDDL("a int, b decimal(16,2), c decimal(16,2)"), "d").first()
+    assert (row.a, str(row.b), str(row.c)) == (2, "12.30", "12.34")
