@@ -30,6 +30,10 @@ class DuplicateKeyError(ValueError):
     """A snapshot holds more than one row for a business key."""
 
 
+class MissingDayError(ValueError):
+    """A load found no rows of its day in a partitioned source."""
+
+
 class MissingKeyError(ValueError):
     """A snapshot holds rows without a business key."""
 
@@ -41,6 +45,7 @@ def scd1_load(
     at: datetime | None = None,
     *,
     leave_out_unkeyed: bool = False,
+    allow_empty: bool = False,
 ) -> DataFrame:
     """Replace the dimension by today's snapshot, numbering keys afresh.
 
@@ -49,7 +54,7 @@ def scd1_load(
     so is a row without a key unless the caller chose to leave such rows out.
     """
     src = of_day(src, bizdate)
-    require_one_row_per_key(src, spec.key, leave_out_unkeyed)
+    require_one_row_per_key(src, spec.key, leave_out_unkeyed, day=_partitioned(src, bizdate, allow_empty))
     snapshot = _snapshot(src, spec)
     keyed = dense_key(snapshot, spec.key, spec.sk, unique=True)
     return keyed.select(
@@ -70,6 +75,7 @@ def scd2_merge(
     overwrite_scd1: bool = True,
     at: datetime | None = None,
     leave_out_unkeyed: bool = False,
+    allow_empty: bool = False,
 ) -> DataFrame:
     """Today's full copy of a history dimension.
 
@@ -84,7 +90,7 @@ def scd2_merge(
     with the active versions.
     """
     src = of_day(src, bizdate)
-    require_one_row_per_key(src, spec.key, leave_out_unkeyed)
+    require_one_row_per_key(src, spec.key, leave_out_unkeyed, day=_partitioned(src, bizdate, allow_empty))
     snapshot = _snapshot(src, spec)
     if prev is None:
         keyed = dense_key(snapshot, spec.key, spec.sk, unique=True)
@@ -179,17 +185,25 @@ def of_day(src: DataFrame, bizdate: str) -> DataFrame:
     return src.where(F.col("pt") == bizdate) if "pt" in src.columns else src
 
 
+def _partitioned(src: DataFrame, bizdate: str, allow_empty: bool) -> str | None:
+    """The day that must have rows: that of a partitioned source, unless allowed empty."""
+    return None if allow_empty or "pt" not in src.columns else bizdate
+
+
 def require_one_row_per_key(
-    snapshot: DataFrame, key: str, leave_out_unkeyed: bool = False
+    snapshot: DataFrame, key: str, leave_out_unkeyed: bool = False, *, day: str | None = None
 ) -> None:
     """Raise when a key occurs twice, or when rows without a key are not allowed.
 
-    Reads the key only, and counts repeats map-side before the shuffle.
+    With ``day``, a snapshot without rows raises too (the source lacks that day). Reads
+    the key only, and counts repeats map-side before the shuffle.
     """
     per_key = snapshot.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     given = F.col(key).isNotNull()
     most = F.max_by(F.struct(key, "__n"), F.when(given, F.col("__n")))
-    unkeyed, worst = per_key.agg(F.sum(F.when(~given, F.col("__n"))), most).first()
+    unkeyed, worst, rows = per_key.agg(F.sum(F.when(~given, F.col("__n"))), most, F.sum("__n")).first()
+    if day is not None and not rows:
+        raise MissingDayError(f"the source has no rows of {day}")
     if unkeyed and not leave_out_unkeyed:
         raise MissingKeyError(f"{unkeyed} rows have no {key}")
     if worst is not None and worst[key] is not None and worst["__n"] > 1:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType
 
 from starflow.functions import audit_columns
-from starflow.operators.dimensions import of_day, scd2_current
+from starflow.operators.dimensions import MissingDayError, of_day, scd2_current
 from starflow.operators.keys import dense_key
 from starflow.specs import DimSpec, FactSpec
 
@@ -30,6 +30,7 @@ def load_fact(
     event_date: str | None = None,
     surrogate: bool = True,
     at: datetime | None = None,
+    allow_empty: bool = False,
 ) -> DataFrame:
     """One row per source row with its dimension keys, measures and ``is_valid``.
 
@@ -38,7 +39,9 @@ def load_fact(
     ``keep`` adds source columns such as the order id. ``event_date`` restricts the
     load to rows whose date column falls on ``bizdate``, as a filter that reaches the
     files. Of a partitioned source only the day's rows are read. ``surrogate=False``
-    leaves out the fact's own key.
+    leaves out the fact's own key. A partitioned source without rows of the day raises
+    (``MissingDayError``) unless ``allow_empty``, so an absent day is never published
+    as an empty one.
 
     Only (business key, surrogate key) of a dimension reaches the join. Whether it
     is broadcast is decided by its size at run time; a large one is joined by
@@ -46,6 +49,8 @@ def load_fact(
     skew-join rule, which applies to left joins.
     """
     rows = of_day(src, bizdate)
+    if not allow_empty and "pt" in src.columns and rows.isEmpty():
+        raise MissingDayError(f"the source has no rows of {bizdate}")
     if event_date is not None:
         rows = rows.where(_falls_on(rows, event_date, bizdate))
     rows = rows.select(*_source_columns(spec, keep))

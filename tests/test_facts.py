@@ -2,6 +2,8 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+
+from starflow.operators.dimensions import MissingDayError
 from pyspark.sql import functions as F
 
 from starflow.operators.dimensions import scd1_load, scd2_merge
@@ -142,7 +144,9 @@ def test_only_the_day_of_a_partitioned_source_is_loaded(spark, dims):
     fact = load_fact(both, dims, FACTS["place_order"], DIMS, DAY)
     assert fact.count() == orders(spark).count()
     users = table(spark, "user_info", {"user_id": 1}).withColumn("pt", F.lit("2025-12-31"))
-    assert scd1_load(users, DIMS["user"], DAY).count() == 0
+    assert scd1_load(users, DIMS["user"], DAY, allow_empty=True).count() == 0
+    with pytest.raises(MissingDayError):
+        scd1_load(users, DIMS["user"], DAY)
 
 
 def test_wrong_user_specs_are_refused_at_use(spark, dims):
