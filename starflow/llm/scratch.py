@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from starflow.sources.storage import run_folder, shared_folder
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session, which driver and executors share.
+    """A run folder under ``spark.checkpoint.dir``, which driver and executors share.
 
     A session without one is refused: a folder on the driver's own disk would not be
-    the one the executors write to, and rows would be lost without an error.
+    the one the executors write to, and rows would be lost without an error. The
+    folder goes with ``discard_runs`` once the results are written.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
+    shared_folder(spark)
+    return run_folder(spark)
 
 
 def saved(df: DataFrame, name: str, *, compression: str = "zstd") -> DataFrame:
     """The rows written once as Parquet and read again, which cuts the lineage."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
