@@ -18,3 +18,12 @@ def test_empty_days_carry_the_last_total(spark):
     # a: 10, 6, 6, 6 -> 7.00; b: 7, 7 -> 7.00
     assert got == {"a": (Decimal("7.00"), 6), "b": (Decimal("7.00"), 7)}
     assert carried_daily(df.limit(0), ["k"], "n", "d", "2026-01-02", "2026-01-05").collect() == []
+
+
+def test_the_calendar_is_not_spread_over_rows(spark):
+    """Days are laid out inside a key's row: no generator and no window over keys x days."""
+    df = spark.createDataFrame([("a", 1, "2026-01-01"), ("a", None, "2026-01-03")], "k string, n int, d string")
+    carried = carried_daily(df, ["k"], "n", "d", "2026-01-01", "2026-01-04")
+    plan = carried._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan
+    assert [(r.n_mean, r.n_at_end) for r in carried.collect()] == [(Decimal("1.00"), 1)]
