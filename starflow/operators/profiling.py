@@ -13,6 +13,8 @@ from starflow.operators.checks import RATE, rate, union_all
 # out; columns that merely come close are settled by the exact count.
 _SKETCH_ERROR = 0.05
 _SKETCH_MARGIN = 0.5
+_WITNESS_VALUES = 1 << 14  # values of a column set that are searched for a repeat
+_SETS_PER_SCAN = 32
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -191,10 +193,9 @@ def minimal_keys(df: DataFrame, name: str, *, most: int = 3) -> DataFrame:
 
     The search goes level by level over column sets. A set is skipped when it holds a
     key already found (it would not be minimal) or a column with NULLs; it is ruled out
-    when the sketched distinct counts of its columns multiply to clearly fewer than the
-    rows, or when one pass of distinct-count sketches over all sets of the level
-    (``_SKETCH_ERROR``, margin ``_SKETCH_MARGIN``) says so. The survivors are counted
-    exactly, each by one narrow shuffle. One row per minimal key, its columns in table
+    when the sketched distinct counts of its columns (``_SKETCH_ERROR``, margin
+    ``_SKETCH_MARGIN``) multiply to clearly fewer than the rows. The rest is settled
+    exactly by :func:`_unique_sets`. One row per minimal key, its columns in table
     order; a table without one gives one row with ``key_columns`` NULL and 0 columns.
     """
     from itertools import combinations
@@ -216,22 +217,7 @@ def minimal_keys(df: DataFrame, name: str, *, most: int = 3) -> DataFrame:
             for s in combinations(usable, size)
             if not any(set(k) <= set(s) for k in found) and _product(estimate[c] for c in s) >= enough
         ]
-        if size > 1 and sets:
-            sketch = df.agg(
-                *[F.approx_count_distinct(F.struct(*s), _SKETCH_ERROR).alias(f"s_{i}") for i, s in enumerate(sets)]
-            ).first()
-            sets = [s for i, s in enumerate(sets) if sketch[f"s_{i}"] >= enough]
-        if not sets:
-            continue
-        exact = union_all(
-            [
-                df.groupBy(*s).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n").alias("most")).select(
-                    F.lit(i).alias("i"), "most"
-                )
-                for i, s in enumerate(sets)
-            ]
-        ).collect()
-        found += [sets[r["i"]] for r in exact if r["most"] == 1]
+        found += _unique_sets(df, sets, rows)
     described = [
         (name, ", ".join(k), len(k), rows) for k in sorted(found, key=lambda k: [columns.index(c) for c in k])
     ] or [(name, None, 0, rows)]
@@ -240,6 +226,74 @@ def minimal_keys(df: DataFrame, name: str, *, most: int = 3) -> DataFrame:
     )
 
 
+def _unique_sets(df: DataFrame, sets: list[tuple[str, ...]], rows: int) -> list[tuple[str, ...]]:
+    """The column sets that no two rows share values of; exact.
+
+    Sets are first refuted by witnesses: of each set, only the values in one part of the
+    hash space (about ``_WITNESS_VALUES`` of them, every row that holds them) are
+    counted, and a value held twice proves that the set is no key. What moves does not
+    grow with the rows. Sets without a witness are counted over all rows by their
+    64-bit hash; a hash held once by each row proves a key, and one held by several rows
+    is settled by the values themselves.
+    """
+    share = max(1, rows // _WITNESS_VALUES)
+    if share > 1 and sets:
+        twice = (
+            _set_rows(df, sets, share)
+            .groupBy("i", "h", "v")
+            .agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > 1)
+        )
+        refuted = {r[0] for r in twice.select("i").distinct().collect()}
+        sets = [s for i, s in enumerate(sets) if i not in refuted]
+    if not sets:
+        return []
+    shared = (
+        _set_rows(df, sets)
+        .groupBy("i", "h")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > 1)
+        .groupBy("i")
+        .agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    )
+    doubtful = {r["i"]: (r["lo"], r["hi"]) for r in shared.collect()}
+    return [
+        s
+        for i, s in enumerate(sets)
+        if i not in doubtful
+        or not (
+            _held_twice(df.where(F.xxhash64(*s).isin(*doubtful[i])), s) or _held_twice(df, s)
+        )
+    ]
+
+
+def _held_twice(df: DataFrame, columns: tuple[str, ...]) -> bool:
+    per_value = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    return not per_value.where(F.col("__n") > 1).isEmpty()
+
+
+def _set_rows(df: DataFrame, sets: list[tuple[str, ...]], share: int = 1) -> DataFrame:
+    """Per row and column set ``i`` the hash ``h`` of its values.
+
+    With a ``share`` only the values in one part of that many of the hash space, and
+    the values themselves as ``v``.
+    """
+    parts = []
+    for at in range(0, len(sets), _SETS_PER_SCAN):
+        each = []
+        for i, s in enumerate(sets[at : at + _SETS_PER_SCAN], start=at):
+            h = F.xxhash64(*s)
+            known = [F.lit(i).alias("i"), h.alias("h")]
+            if share > 1:
+                v = F.array(*[F.col(c).cast("string") for c in s]).alias("v")
+                each.append(F.when(F.pmod(h, F.lit(share)) == 0, F.struct(*known, v)))
+            else:
+                each.append(F.struct(*known))
+        one = F.array(*each)
+        parts.append(df.select(F.inline(F.array_compact(one) if share > 1 else one)))
+    return union_all(parts)
+
+
 # Type classes whose values can be compared across tables, and the type they meet in.
 _CLASSES = {
     "byte": ("exact", "decimal(38,10)"),

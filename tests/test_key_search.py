@@ -81,3 +81,22 @@ def test_reference_matches_meet_across_number_types(spark):
     parent = spark.createDataFrame([(Decimal(i),) for i in range(10)], "k decimal(38,10)")
     (r,) = reference_matches({"c": child}, {"p": (parent, "k")}, [("c", "fk", "p")]).collect()
     assert (r.matched_rows, r.unmatched_keys) == (10, 0)
+
+
+def test_keys_refuted_by_a_witness_move_no_rows(spark, monkeypatch):
+    """A set with repeats is refuted in a part of its hash space; only the rest is counted whole."""
+    from starflow.operators import profiling
+
+    monkeypatch.setattr(profiling, "_WITNESS_VALUES", 64)
+    whole, plain = [], profiling._set_rows
+
+    def seen(df, sets, share=1):
+        if share == 1:
+            whole.extend(sets)
+        return plain(df, sets, share)
+
+    monkeypatch.setattr(profiling, "_set_rows", seen)
+    # (a, c): 2,000 pairs for 4,000 rows, each held twice; (a, b) is the key.
+    df = spark.range(4000).selectExpr("id div 2 AS a", "id % 2 AS b", "id div 2 % 7 AS c")
+    assert [r.key_columns for r in minimal_keys(df, "t").collect()] == ["a, b"]
+    assert ("a", "b") in whole and ("a", "c") not in whole and ("a",) not in whole
