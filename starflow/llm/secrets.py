@@ -4,15 +4,16 @@ The base finds three kinds of secret by pattern, leftmost and non-overlapping pe
 kind, and drops matches that are too short (``BASE``). The method then looks at
 strings in a sensitive context (a keyword such as ``token`` or ``auth`` shortly
 before them): each candidate is compressed after the code that precedes it, by a
-zstandard compressor primed with a dictionary trained on sampled texts of the corpus
+zstandard compressor primed with a dictionary trained on the texts of the corpus
 and by one primed with the corpus's frequent identifiers. What the candidate adds in
 compressed bytes, per byte of its own, is its novelty; identifiers and words compress
 well against either dictionary, random keys do not. Candidates at or above
 ``NOVELTY`` against both dictionaries are reported as kind ``novel``; base spans stay
 as they are, and candidates that overlap one are not reported twice.
 
-Only the dictionaries are fitted, on at most ``SAMPLE_TEXTS`` texts drawn at random
-(a documented bound); every text is then scanned whole, in Arrow batches on the
+The dictionaries are fitted on every text: identifiers are counted in all of them,
+and tasks train a dictionary on each shard of ``SHARD_BYTES`` of text, from which the
+final one is trained. Every text is then scanned whole, in Arrow batches on the
 executors.
 
 Defined cases: a null text is scanned as empty (no spans); a null doc_id is carried;
@@ -26,13 +27,16 @@ import bisect
 import hashlib
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from starflow.llm.text import keyed_text, map_batches
+from starflow.llm.scratch import saved
+from starflow.llm.text import keyed_text, map_batches, tidy
 
 # The base kinds, in their listed order, and the least length of a match.
 ASSIGN = re.compile(
@@ -49,9 +53,12 @@ CONTEXT_WORDS = re.compile(r"key|secret|token|passw|pwd|auth|credential|private|
 CONTEXT_BEFORE = 64  # characters before a candidate searched for a context word
 CODE_BEFORE = 512  # characters before a candidate that it is compressed after
 NOVELTY = 0.9  # compressed bytes added per byte of the candidate
-SAMPLE_TEXTS = 2_000  # texts drawn to fit the dictionaries
 PIECE_BYTES = 2_048  # texts are cut into pieces of this size to train on
 DICT_BYTES = 16_384
+SHARD_BYTES = 8 << 20  # text that one shard's dictionary is trained on
+SHARD_DICT_BYTES = 32_768  # size of a shard's dictionary
+SEGMENT_BYTES = 1_024  # of a shard's dictionary
+FAN_IN = 64  # shards' dictionaries that one is trained from
 LEVEL = 19
 
 OUT = (
@@ -91,21 +98,67 @@ class Dictionaries:
     identifiers: bytes
 
 
-def fit_dictionaries(df: DataFrame, text: str = "text", *, seed: int = 11) -> Dictionaries:
-    """Both dictionaries from at most ``SAMPLE_TEXTS`` texts drawn at random.
+def fit_dictionaries(df: DataFrame, text: str = "text") -> Dictionaries:
+    """Both dictionaries from every text; only they and at most ``FAN_IN`` shards'
+    dictionaries reach the driver."""
+    texts = df.select(F.col(text).alias("text")).where("text IS NOT NULL AND text <> ''")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
+    if not size:
+        return Dictionaries(b"", b"")
+    identifiers = _identifier_bytes(texts)
+    return Dictionaries(_trained_on_all(texts, size, identifiers), identifiers)
+
+
+def _trained_on_all(texts: DataFrame, size: int, fallback: bytes) -> bytes:
+    """A dictionary trained level by level: on texts, then on ``FAN_IN`` dictionaries.
 
-    The draw keeps each text with the probability that gives about twice the bound,
-    then takes the bound, so only the sample reaches the driver.
+    Texts of one shard are trained on at once, in their order.
     """
-    texts = df.select(text).where(f"`{text}` IS NOT NULL AND `{text}` <> ''")
-    total = texts.count()
-    if total == 0:
-        return Dictionaries(b"", b"")
-    share = min(1.0, 2.0 * SAMPLE_TEXTS / total)
-    drawn = [r[0] for r in texts.sample(fraction=share, seed=seed).limit(SAMPLE_TEXTS).collect()]
-    pieces = [p for t in drawn for p in _pieces(t.encode("utf-8"))]
-    identifiers = _identifier_bytes(drawn)
-    return Dictionaries(_trained(pieces, identifiers), identifiers)
+    tasks = -(-size // SHARD_BYTES)
+    if tasks == 1:
+        return _trained([p for r in texts.coalesce(1).collect() for p in _pieces(r[0].encode("utf-8"))], fallback)
+    level = saved(texts.coalesce(tasks).mapInArrow(_shard_dictionaries, "d binary"), "dictionaries")
+    while (n := level.count()) > FAN_IN:
+        group = F.pmod(F.xxhash64("d"), F.lit(-(-n // FAN_IN)))
+        level = saved(level.groupBy(group).applyInArrow(_merged_dictionary, "d binary"), "dictionaries")
+    shards = sorted(bytes(r[0]) for r in level.collect())
+    return _trained([p for d in shards for p in _pieces(d)], fallback)
+
+
+def _shard_dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A dictionary for every ``SHARD_BYTES`` of a task's texts; a short rest joins the last."""
+    full: list[bytes] = []
+    held: list[bytes] = []
+    size = 0
+    for batch in batches:
+        for value in batch.column(0):
+            data = value.as_py().encode("utf-8")
+            held += _pieces(data)
+            size += len(data)
+            if size >= SHARD_BYTES:
+                if full:
+                    yield _one_dictionary(full)
+                full, held, size = held, [], 0
+    if full and size >= SHARD_BYTES // 2:
+        yield _one_dictionary(full)
+        full = []
+    if full or held:
+        yield _one_dictionary(full + held)
+    tidy()
+
+
+def _merged_dictionary(table: pa.Table) -> pa.Table:
+    shards = sorted(table.column("d").to_pylist())
+    return pa.Table.from_batches([_one_dictionary([p for d in shards for p in _pieces(d)])])
+
+
+def _one_dictionary(pieces: list[bytes]) -> pa.RecordBatch:
+    """One row, or none where the pieces are too few to have segments that repeat."""
+    try:
+        found = [zstandard.train_dictionary(SHARD_DICT_BYTES, pieces, k=SEGMENT_BYTES, d=8).as_bytes()]
+    except zstandard.ZstdError:
+        found = []
+    return pa.RecordBatch.from_pydict({"d": found}, schema=pa.schema([("d", pa.binary())]))
 
 
 def _pieces(data: bytes) -> list[bytes]:
@@ -121,19 +174,21 @@ def _trained(pieces: list[bytes], fallback: bytes) -> bytes:
         return fallback
 
 
-def _identifier_bytes(texts: list[str]) -> bytes:
-    """Identifier-like words found in two or more sampled texts, most frequent first.
+def _identifier_bytes(texts: DataFrame) -> bytes:
+    """Identifier-like words found in two or more texts, most frequent first.
 
-    A word of one text only is left out, so a key in a sampled text is not learnt.
+    A word of one text only is left out, so a key in a single text is not learnt.
     """
-    found = Counter(w for t in texts for w in set(re.findall(r"[A-Za-z_][A-Za-z0-9_]{3,}", t)))
-    counts = {w: n for w, n in found.items() if n >= 2}
+    word = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Za-z_][A-Za-z0-9_]{3,}"), 0)))
+    counted = texts.select(word.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # The shortest words take five bytes with their separator, so these are enough.
+    most = counted.where("n >= 2").orderBy(F.desc("n"), "word").limit(DICT_BYTES // 5 + 1).collect()
     out, size = [], 0
-    for word, _ in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0])):
-        size += len(word) + 1
+    for row in most:
+        size += len(row["word"]) + 1
         if size > DICT_BYTES:
             break
-        out.append(word)
+        out.append(row["word"])
     return "\n".join(out).encode("utf-8")
 
 

@@ -248,3 +248,17 @@ def test_secret_scan_of_clashing_columns_and_of_no_rows(spark):
     df = df.withColumns({c: F.lit("x") for c in CLASHING})
     assert secrets.scan(df).first().n_assign == 2
     assert secrets.scan(df.limit(0)).collect() == []
+
+
+def test_dictionaries_are_fitted_on_every_text(spark, monkeypatch):
+    """A word of two texts among thousands is learnt, and every shard's segments count."""
+    monkeypatch.setattr(secrets, "SHARD_BYTES", 1 << 16)
+    monkeypatch.setattr(secrets, "FAN_IN", 4)
+    rows = [(i, f"x{i} " + "the quick brown fox jumps over a lazy dog " * 3) for i in range(5000)]
+    rows[10] = (10, "zebra_handle of one")
+    rows[4990] = (4990, "zebra_handle of another")
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    fitted = secrets.fit_dictionaries(df)
+    assert b"zebra_handle" in fitted.identifiers.split(b"\n")
+    assert b"x4990" not in fitted.identifiers.split(b"\n")
+    assert b"brown fox" in fitted.trained and len(fitted.trained) <= secrets.DICT_BYTES
