@@ -301,3 +301,30 @@ def test_hot_foreign_key_is_split(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_lines_are_numbered_once_for_all_tables(spark, tmp_path, monkeypatch):
+    """Every table of lines gets the numbers that its rows alone would get, from one numbering."""
+    from starflow.plans import bindings
+
+    rows = [(k // 3, k % 7, k % 2, k % 3, float(k), float(k), (k % 4) / 100, 0.0, "RN"[k % 2], "F") for k in range(60)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    names += "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    lines = spark.createDataFrame(rows, names).selectExpr("*", "timestamp'1998-01-01' AS l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.range(20).selectExpr("id AS o_orderkey", "id AS o_custkey")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    wide, plain = [], bindings.dense_key
+
+    def seen(df, order_by, *args, **options):
+        wide.append(order_by == bindings.LINE_ORDER)
+        return plain(df, order_by, *args, **options)
+
+    monkeypatch.setattr(bindings, "dense_key", seen)
+    alone = {t: bindings.Bindings(spark, str(tmp_path)).source(t) for t in ("refund_info", "user_coupon")}
+    wide.clear()
+    together = bindings.Bindings(spark, str(tmp_path))
+    together.source("stock_info")
+    for t, expected in alone.items():
+        assert sorted(map(tuple, together.source(t).collect())) == sorted(map(tuple, expected.collect()))
+    assert wide == [True, False, False]
