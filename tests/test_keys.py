@@ -145,3 +145,20 @@ def test_equal_keys_are_numbered_the_same_way_again(spark):
 def test_many_rows_make_few_files(spark):
     keyed = dense_key(spark.range(300_000), "id", "sk", unique=True)
     assert len(keyed.inputFiles()) <= 8
+
+
+def test_rows_move_once_and_without_their_hash(spark):
+    """The counts of the ranges go to the rows, and the hash of a row is not written."""
+    off = {f"spark.sql.{a}autoBroadcastJoinThreshold": "-1" for a in ("", "adaptive.")}
+    before = {k: spark.conf.get(k, None) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        df = spark.range(1000).selectExpr("id % 50 AS k", "id AS v")
+        keyed = ranges(df, "k")
+        assert "SortMergeJoin" not in keyed._jdf.queryExecution().executedPlan().toString()
+        assert spark.read.parquet(*keyed.inputFiles()).columns == ["k", "v", "__place"]
+        assert_dense_in_order(keyed.collect(), ["k"])
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
