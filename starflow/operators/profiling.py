@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from starflow.operators.checks import RATE, rate, union_all
 
@@ -118,21 +119,24 @@ def reference_matches(
     parent's keys are made distinct once for all that refer to it.
     """
     counted, known = [], []
+    # Numbers stand for the names while rows move.
+    names = list(dict.fromkeys(f"{c}.{fk}" for c, fk, _ in references))
+    place = {name: i for i, name in enumerate(dict.fromkeys(p for _, _, p in references))}
     for child in dict.fromkeys(c for c, _, _ in references):
         own = [(fk, p) for c, fk, p in references if c == child]
         each = [
             F.struct(
-                F.lit(f"{child}.{fk}").alias("reference"),
-                F.lit(p).alias("parent"),
+                F.lit(names.index(f"{child}.{fk}")).alias("reference"),
+                F.lit(place[p]).alias("parent"),
                 _comparable(children[child], fk).alias("k"),
             )
             for fk, p in own
         ]
         rows = children[child].select(F.inline(F.array(*each)))
         counted.append(rows.groupBy("reference", "parent", "k").agg(F.count(F.lit(1)).alias("__n")))
-    for name in dict.fromkeys(p for _, _, p in references):
+    for name, i in place.items():
         table, key = parents[name]
-        keys = table.select(F.lit(name).alias("parent"), _comparable(table, key).alias("k"))
+        keys = table.select(F.lit(i).alias("parent"), _comparable(table, key).alias("k"))
         known.append(keys.where("k IS NOT NULL").distinct())
     known_keys = union_all(known).withColumn("__found", F.lit(True))
     joined = union_all(counted).join(known_keys, ["parent", "k"], "left")
@@ -144,12 +148,16 @@ def reference_matches(
         F.count(F.when(given, 1)).alias("distinct_keys"),
         F.count(F.when(given & ~found, 1)).alias("unmatched_keys"),
     )
-    return totals.withColumn("match_rate", _match_rate())
+    named = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("reference") + 1)
+    return totals.withColumn("reference", named).withColumn("match_rate", _match_rate())
 
 
 def _comparable(df: DataFrame, column: str) -> Column:
     """A key as text after a cast to its class's common type, so 7 and 7.0000000000 meet."""
-    known = type_class(df.schema[column].dataType)
+    kind = df.schema[column].dataType
+    known = type_class(kind)
+    if isinstance(kind, IntegralType):  # as the cast writes it, without a decimal made
+        return F.concat(F.col(column).cast("string"), F.lit(".0000000000"))
     value = F.col(column).cast(known[1]) if known else F.col(column)
     return value.cast("string")
 

@@ -100,3 +100,14 @@ def test_keys_refuted_by_a_witness_move_no_rows(spark, monkeypatch):
     df = spark.range(4000).selectExpr("id div 2 AS a", "id % 2 AS b", "id div 2 % 7 AS c")
     assert [r.key_columns for r in minimal_keys(df, "t").collect()] == ["a, b"]
     assert ("a", "b") in whole and ("a", "c") not in whole and ("a",) not in whole
+
+
+def test_whole_numbers_are_matched_without_decimals(spark):
+    from starflow.operators.profiling import reference_matches
+
+    child = spark.sql("SELECT * FROM VALUES (1, 7), (-2, 7), (NULL, 8), (5, NULL) AS t(a, b)")
+    parent = spark.createDataFrame([(1,), (-2,), (7,)], "k bigint")
+    got = reference_matches({"c": child}, {"p": (parent, "k")}, [("c", "a", "p"), ("c", "b", "p")])
+    assert "decimal(38,10)" not in got._jdf.queryExecution().toString()
+    rows = {r.reference: (r.child_rows, r.null_rows, r.matched_rows, r.unmatched_keys) for r in got.collect()}
+    assert rows == {"c.a": (4, 1, 2, 1), "c.b": (4, 1, 2, 1)}
