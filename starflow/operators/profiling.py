@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DecimalType, IntegralType
 
 from starflow.operators.checks import RATE, rate, union_all
 
@@ -330,9 +330,11 @@ def find_references(tables: Mapping[str, DataFrame]) -> DataFrame:
     ruled out, in this order, by the value range (child min and max inside the
     parent's), then by a one-hash Bloom filter: each parent's set of ``BUCKETS`` hash
     buckets, each child's likewise, and a child bucket that the parent lacks proves a
-    missing value. Survivors are tested exactly: distinct child values anti-joined
-    with the parent's keys, all survivors of a table in one pass. Values meet in a
-    common type per class, so an integer child and a decimal parent compare by value.
+    missing value. Survivors are tested exactly: a child column's values are made
+    distinct once, whatever the number of its parents, and joined with the list of
+    parents that hold each value. Every table is read once in a step. Values meet in a
+    common type per class, so an integer child and a decimal parent compare by value;
+    the class of exact numbers meets as bigint when none of them is a decimal.
     """
     parents, columns = [], []
     for name, df in tables.items():
@@ -343,17 +345,24 @@ def find_references(tables: Mapping[str, DataFrame]) -> DataFrame:
         for f in df.schema.fields:
             if type_class(f.dataType) is not None:
                 columns.append((name, f.name))
+    kinds = {(t, c): tables[t].schema[c].dataType for t, c in columns}
+    decimals = any(isinstance(k, DecimalType) for k in kinds.values())
+
+    def common(t: str, c: str) -> Column:
+        kind, to = type_class(kinds[(t, c)])
+        return F.col(c).cast("bigint" if kind == "exact" and not decimals else to)
+
     summaries = []
     for name, df in tables.items():
         own = [c for t, c in columns if t == name]
         if not own:
             continue
-        common = {c: type_class(df.schema[c].dataType) for c in own}
+        classes = {c: type_class(kinds[(name, c)]) for c in own}
         summaries.append(
             df.agg(
                 *[F.count(c).alias(f"n_{i}") for i, c in enumerate(own)],
-                *[F.min(F.col(c).cast(common[c][1])).cast("string").alias(f"lo_{i}") for i, c in enumerate(own)],
-                *[F.max(F.col(c).cast(common[c][1])).cast("string").alias(f"hi_{i}") for i, c in enumerate(own)],
+                *[F.min(c).cast(classes[c][1]).cast("string").alias(f"lo_{i}") for i, c in enumerate(own)],
+                *[F.max(c).cast(classes[c][1]).cast("string").alias(f"hi_{i}") for i, c in enumerate(own)],
             )
             .select(
                 F.inline(
@@ -362,7 +371,7 @@ def find_references(tables: Mapping[str, DataFrame]) -> DataFrame:
                             F.struct(
                                 F.lit(name).alias("t"),
                                 F.lit(c).alias("c"),
-                                F.lit(common[c][0]).alias("kind"),
+                                F.lit(classes[c][0]).alias("kind"),
                                 F.col(f"n_{i}").alias("n"),
                                 F.col(f"lo_{i}").alias("lo"),
                                 F.col(f"hi_{i}").alias("hi"),
@@ -390,7 +399,10 @@ def find_references(tables: Mapping[str, DataFrame]) -> DataFrame:
         return _no_references(tables)
     spark = next(iter(tables.values())).sparkSession
     used = sorted({(t, c) for ct, cc, pt, pc in pairs for t, c in ((ct, cc), (pt, pc))})
-    buckets = union_all([_buckets(tables[t], t, c) for t, c in used]).distinct()
+    hashed = {k: F.pmod(F.xxhash64(common(*k)), F.lit(BUCKETS)) for k in used}
+    each = [F.struct(F.lit(t).alias("t"), F.lit(c).alias("c")) for t, c in used]
+    named = F.element_at(F.array(*each), F.col("i") + 1)
+    buckets = _values(tables, used, hashed).select(named["t"].alias("t"), named["c"].alias("c"), F.col("v").alias("b"))
     candidates = spark.createDataFrame(pairs, "child_table string, child_column string, parent_table string, parent_column string")
     child_b = buckets.select(F.col("t").alias("child_table"), F.col("c").alias("child_column"), "b")
     parent_b = buckets.select(F.col("t").alias("parent_table"), F.col("c").alias("parent_column"), "b", F.lit(True).alias("_in"))
@@ -402,24 +414,19 @@ def find_references(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
     survivors = [tuple(r)[:4] for r in misses.where("missing = 0").collect()]
     found = []
-    for ct in sorted({s[0] for s in survivors}):
-        own = [s for s in survivors if s[0] == ct]
-        each = [
-            F.struct(F.lit(i).alias("pair"), _common(tables[ct], cc).cast("string").alias("v"))
-            for i, (_, cc, _, _) in enumerate(own)
-        ]
-        values = tables[ct].select(F.inline(F.array(*each))).where("v IS NOT NULL").distinct()
-        known = union_all(
-            [
-                tables[pt].select(F.lit(i).alias("pair"), _common(tables[pt], pc).cast("string").alias("v"))
-                for i, (_, _, pt, pc) in enumerate(own)
-            ]
-        )
-        counted = values.join(known.withColumn("_in", F.lit(True)), ["pair", "v"], "left").groupBy("pair").agg(
-            F.count(F.lit(1)).alias("distinct_keys"), F.count(F.when(F.col("_in").isNull(), 1)).alias("missing")
-        )
-        for r in counted.where("missing = 0").collect():
-            found.append((*own[r["pair"]], r["distinct_keys"]))
+    for kind in sorted({facts[s[:2]]["kind"] for s in survivors}):
+        own = [s for s in survivors if facts[s[:2]]["kind"] == kind]
+        children = sorted({s[:2] for s in own})
+        held = sorted({s[2:] for s in own})
+        values = _values(tables, children, {k: common(*k) for k in children})
+        known = _values(tables, held, {k: common(*k) for k in held}).groupBy("v").agg(F.collect_list("i").alias("in"))
+        has = [F.count(F.when(F.array_contains("in", j), 1)).alias(f"p_{j}") for j in range(len(held))]
+        counted = values.join(known, "v", "left").groupBy("i").agg(F.count(F.lit(1)).alias("n"), *has)
+        totals = {r["i"]: r for r in counted.collect()}  # one row a column
+        for s in own:
+            r = totals[children.index(s[:2])]
+            if r[f"p_{held.index(s[2:])}"] == r["n"]:
+                found.append((*s, r["n"]))
     return spark.createDataFrame(
         sorted(found),
         "child_table string, child_column string, parent_table string, parent_column string, distinct_keys long",
@@ -433,18 +440,19 @@ def _no_references(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _common(df: DataFrame, column: str) -> Column:
-    return F.col(column).cast(type_class(df.schema[column].dataType)[1])
-
-
-def _buckets(df: DataFrame, table: str, column: str) -> DataFrame:
-    """The hash buckets that the non-NULL values of a column fall in (at most ``BUCKETS``)."""
-    value = _common(df, column)
-    return (
-        df.where(value.isNotNull())
-        .select(F.lit(table).alias("t"), F.lit(column).alias("c"), F.pmod(F.xxhash64(value), F.lit(BUCKETS)).alias("b"))
-        .distinct()
-    )
+def _values(
+    tables: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]], values: Mapping[tuple[str, str], Column]
+) -> DataFrame:
+    """The distinct ``v`` of each column ``i`` over its non-NULL values, one scan a table."""
+    parts = []
+    for name in dict.fromkeys(t for t, _ in columns):
+        each = [
+            F.struct(F.lit(i).alias("i"), F.when(F.col(c).isNotNull(), values[(t, c)]).alias("v"))
+            for i, (t, c) in enumerate(columns)
+            if t == name
+        ]
+        parts.append(tables[name].select(F.inline(F.array(*each))).where("v IS NOT NULL"))
+    return union_all(parts).distinct()
 
 
 def _before(a: str, b: str, kind: str) -> bool:

@@ -102,6 +102,25 @@ def test_keys_refuted_by_a_witness_move_no_rows(spark, monkeypatch):
     assert ("a", "b") in whole and ("a", "c") not in whole and ("a",) not in whole
 
 
+def test_references_read_a_table_once_a_step(spark, monkeypatch):
+    """A column's values are taken once, whatever the number of columns and of parents."""
+    from starflow.operators import profiling
+
+    stacked, plain = [], profiling.union_all
+
+    def seen(frames):
+        stacked.append(len(frames))
+        return plain(frames)
+
+    monkeypatch.setattr(profiling, "union_all", seen)
+    a = spark.range(20).selectExpr("id AS k", "id AS same", "id % 5 AS few", "id % 3 AS less")
+    b = spark.range(50).selectExpr("id AS k", "id % 20 AS a_k", "date'2026-01-01' AS day")
+    got = {tuple(r)[:4]: r.distinct_keys for r in find_references({"a": a, "b": b}).collect()}
+    assert got[("b", "a_k", "a", "k")] == got[("b", "a_k", "a", "same")] == 20
+    assert got[("a", "few", "b", "k")] == 5 and ("b", "k", "a", "k") not in got
+    assert max(stacked) <= 2
+
+
 def test_whole_numbers_are_matched_without_decimals(spark):
     from starflow.operators.profiling import reference_matches
 
