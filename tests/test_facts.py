@@ -328,3 +328,27 @@ def test_lines_are_numbered_once_for_all_tables(spark, tmp_path, monkeypatch):
     for t, expected in alone.items():
         assert sorted(map(tuple, together.source(t).collect())) == sorted(map(tuple, expected.collect()))
     assert wide == [True, False, False]
+
+
+def test_lines_of_a_condition_move_with_their_own_columns(spark, tmp_path, monkeypatch):
+    from starflow.plans import bindings
+
+    lines = spark.range(30).selectExpr(
+        "id div 3 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "cast(id % 3 AS int) AS l_linenumber",
+        "1D AS l_quantity", "2D AS l_extendedprice", "(id % 4) / 100D AS l_discount", "0D AS l_tax",
+        "if(id % 2 = 0, 'R', 'N') AS l_returnflag", "'F' AS l_linestatus", "timestamp'1998-01-01' AS l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(10).selectExpr("id AS o_orderkey", "id AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    moved, plain = [], bindings.dense_key
+
+    def seen(df, *args, **options):
+        moved.append(set(df.columns))
+        return plain(df, *args, **options)
+
+    monkeypatch.setattr(bindings, "dense_key", seen)
+    source = bindings.Bindings(spark, str(tmp_path))
+    source.source("stock_info")
+    assert source.source("refund_info").count() == 15 and source.source("user_coupon").count() == 22
+    day = {"__line", "l_orderkey", "l_shipdate"}
+    assert moved[1:] == [day | {"l_partkey", "l_extendedprice"}, day | {"l_discount"}]
