@@ -152,6 +152,15 @@ def _distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return distinct.view(np.uint8).reshape(-1, rows.shape[1]), inverse
 
 
+def _words(rows: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of each row on, zeros behind a row's end."""
+    n, width = rows.shape
+    wide = np.zeros((n, width + 16), np.uint8)
+    wide[:, :width] = rows
+    eight = np.lib.stride_tricks.as_strided(wide, (n, width + 9, 8), (wide.shape[1], 1, 1))
+    return np.ascontiguousarray(eight).view("<u8")[:, :, 0]
+
+
 class RunIndex:
     """A run-compressed Burrows-Wheeler transform of a set of distinct strings.
 
@@ -163,24 +172,31 @@ class RunIndex:
         if length < 8:
             raise ValueError("prefixes are told apart from 8 bytes on")
         self.rows, self.length = rows, length
+        self.words = _words(rows)
         n, width = rows.shape
         size = (rows != 0).sum(axis=1)
         span = width + 1
         valid = np.arange(span) <= size[:, None]
         row, col = np.nonzero(valid)
         rank, at_length = self._ranks(row, col, valid)
-        order = np.argsort(rank, kind="stable")
+        # In order of rank, then of row.
+        order = np.sort(rank * len(rank) + np.arange(len(rank))) % max(1, len(rank))
         self.row, self.col = row[order].astype(np.int32), col[order].astype(np.int32)
         same = at_length[order]
         same = (same[1:] == same[:-1]).all(axis=1)
         # Intervals of equal prefixes of ``length`` bytes, with their least document.
         self.interval = np.flatnonzero(np.r_[True, ~same])
-        self.least = np.minimum.reduceat(owner[self.row], self.interval)
+        least = np.minimum.reduceat(owner[self.row], self.interval)
+        self.least = np.repeat(least, np.diff(np.r_[self.interval, len(self.row)]))
         last = np.where(self.col > 0, rows[self.row, np.maximum(self.col, 1) - 1], 0)
         head = np.flatnonzero(np.r_[True, last[1:] != last[:-1]])
         end = np.r_[head[1:], len(last)]
         symbol = last[head].astype(np.int64)
         by_symbol = np.lexsort((head, symbol))
+        place = np.empty(len(head), np.int32)
+        place[by_symbol] = np.arange(len(head))
+        # The run that holds each suffix, so that only a pattern that leaves its run searches.
+        self.run_at = np.repeat(place, end - head)
         self.symbol, self.head, self.end = symbol[by_symbol], head[by_symbol], end[by_symbol]
         self.n = len(last)
         self.key = self.symbol * (self.n + 1) + self.head
@@ -193,35 +209,52 @@ class RunIndex:
     def _ranks(self, row: np.ndarray, col: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Order of all suffixes by prefix doubling, and what tells ``length`` bytes apart."""
         n, span = valid.shape
-        wide = np.zeros((n, span + 8), np.uint8)
-        wide[:, : self.rows.shape[1]] = self.rows
-        key = np.zeros((n, span), np.uint64)
-        for k in range(8):
-            key = (key << np.uint64(8)) | wide[:, k : k + span]
-        rank = np.unique(key[valid], return_inverse=True)[1].astype(np.int64) + 1
+        first = self.words[row, col].byteswap()
+        order = np.argsort(first)
+        first = first[order]
+        head = np.r_[True, first[1:] != first[:-1]]
+        # A rank is one more than the suffixes before its group, so that groups that are
+        # told apart keep theirs and only tied suffixes are sorted again.
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0)) + 1
+        tied = order[~(head & np.r_[head[1:], True])]
         depth, at_length = 8, None
         table = np.zeros((n, 2 * span + self.length), np.int64)
         while True:
             table[row, col] = rank
             if at_length is None and (2 * depth > self.length or depth >= span):
                 at_length = np.stack([rank, table[row, col + max(0, self.length - depth)]], axis=1)
-            if depth >= span:
+            if depth >= span or not len(tied) and at_length is not None:
                 return rank, at_length
-            pair = rank * (rank.max() + 1) + table[row, np.minimum(col + depth, table.shape[1] - 1)]
-            rank = np.unique(pair, return_inverse=True)[1].astype(np.int64) + 1
+            old = rank[tied]
+            pair = old * (len(order) + 1) + table[row[tied], np.minimum(col[tied] + depth, table.shape[1] - 1)]
+            by_pair = np.argsort(pair)
+            tied, old, pair = tied[by_pair], old[by_pair], pair[by_pair]
+            place = np.arange(len(tied))
+            group = np.r_[True, old[1:] != old[:-1]][: len(tied)]
+            head = np.r_[True, pair[1:] != pair[:-1]][: len(tied)]
+            since = [np.maximum.accumulate(np.where(x, place, 0)) for x in (group, head)]
+            rank[tied] = old + since[1] - since[0]
+            tied = tied[~(head & np.r_[head[1:], True][: len(tied)])]
             depth *= 2
 
-    def _common(self, sample: int, run: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Bytes that the sampled suffixes of runs share with the patterns from ``at`` on."""
-        row, col = (x[run] for x in self.sample[sample])
-        place = np.arange(self.rows.shape[1])
-        width = self.rows.shape[1]
-        ours = np.take_along_axis(text, np.minimum(at[:, None] + place, width - 1), 1)
-        ours = np.where(at[:, None] + place < width, ours, 0)
-        theirs = self.rows[row[:, None], np.minimum(col[:, None] + place, width - 1)]
-        theirs = np.where(col[:, None] + place < width, theirs, 0)
-        differ = (ours != theirs) | (ours == 0)
-        return np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    def _common(
+        self, sample: int, run: np.ndarray, words: np.ndarray, line: np.ndarray, at: np.ndarray, most: np.ndarray
+    ) -> np.ndarray:
+        """Bytes, up to ``most``, that the sampled suffixes of runs share with the patterns
+        from ``at`` on, compared eight at a time; ``words`` are the patterns' (:func:`_words`)."""
+        row, col = (x[run].astype(np.int64) for x in self.sample[sample])
+        common = np.zeros(len(run), np.int64)
+        live = np.flatnonzero(most > 0)
+        done = 0
+        while len(live):
+            differ = words[line[live], at[live] + done] ^ self.words[row[live], col[live] + done]
+            # The place of the lowest bit that differs; eight bytes alike count eight.
+            lowest = np.frexp((differ & (~differ + np.uint64(1))).astype(np.float64))[1] - 1
+            common[live] = done + np.where(differ == 0, 8, lowest >> 3)
+            done += 8
+            live = live[(differ == 0) & (most[live] > done)]
+        return np.minimum(common, most)
 
     def least_documents(self, text: np.ndarray) -> np.ndarray:
         """For each place of each pattern, the least document that has the ``length``
@@ -229,34 +262,40 @@ class RunIndex:
         n, width = text.shape
         size = (text != 0).sum(axis=1)
         found = np.full((n, width), NO_ID, np.int64)
+        words = _words(text)
         spot, match = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for step in range(1, int(size.max(initial=0)) + 1):
             live = np.flatnonzero(size >= step)
             at = size[live] - step
             symbol = text[live, at].astype(np.int64)
-            run = np.searchsorted(self.key, symbol * (self.n + 1) + spot[live], side="right") - 1
-            own = (run >= 0) & (self.symbol[run] == symbol)
-            lost = np.flatnonzero(~(own & (spot[live] < self.end[run])))
+            run = self.run_at[spot[live]].astype(np.int64)
+            lost = np.flatnonzero(self.symbol[run] != symbol)
             where, length = spot[live].copy(), match[live].copy()
             if len(lost):
+                wanted = symbol[lost] * (self.n + 1) + spot[live[lost]]
+                run[lost] = np.searchsorted(self.key, wanted, side="right") - 1
+                own = (run[lost] >= 0) & (self.symbol[run[lost]] == symbol[lost])
                 up = np.minimum(run[lost] + 1, len(self.key) - 1)
                 has_up = (run[lost] + 1 < len(self.key)) & (self.symbol[up] == symbol[lost])
-                text_at = at[lost] + 1
-                pattern = text[live[lost]]
-                down_common = np.where(own[lost], self._common(1, run[lost], pattern, text_at), -1)
-                up_common = np.where(has_up, self._common(0, up, pattern, text_at), -1)
+                known_to = length[lost]
+                near = (words, live[lost], at[lost] + 1, known_to)
+                down_common = np.where(own, self._common(1, run[lost], *near), -1)
+                # What is matched below as far as can be needs no look above.
+                look = np.flatnonzero(has_up & (down_common < known_to))
+                near = (words, live[lost[look]], at[lost[look]] + 1, known_to[look])
+                up_common = np.full(len(lost), -1, np.int64)
+                up_common[look] = self._common(0, up[look], *near)
                 go_up = up_common > down_common
                 best = np.maximum(up_common, down_common)
                 where[lost] = np.where(go_up, self.head[up], self.end[run[lost]] - 1)
                 run[lost] = np.where(go_up, up, run[lost])
-                length[lost] = np.minimum(length[lost], np.maximum(best, -1))
+                length[lost] = best
             known = length >= 0
             spot[live] = np.where(known, self.before[run] + where - self.head[run], 0)
             match[live] = np.where(known, length + 1, 0)
             long = np.flatnonzero(match[live] >= self.length)
             if len(long):
-                hit = np.searchsorted(self.interval, spot[live[long]], side="right") - 1
-                found[live[long], at[long]] = self.least[hit]
+                found[live[long], at[long]] = self.least[spot[live[long]]]
         return found
 
 
