@@ -165,7 +165,8 @@ class RunIndex:
     """A run-compressed Burrows-Wheeler transform of a set of distinct strings.
 
     ``rows`` holds byte + 1 per place and zeros behind a string's end; a zero ends a
-    string, and ends are ordered by row. ``owner`` is the document of each string.
+    string, and ends are ordered by row. ``owner`` is the document of each string. Each suffix keeps
+    its run and its least document, so that both are read without a search.
     """
 
     def __init__(self, rows: np.ndarray, owner: np.ndarray, length: int) -> None:
