@@ -9,11 +9,11 @@ that a third of the documents share counts once for each chunk.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,48 @@ CHUNK_BYTES = 4 << 20
 HASHES_IN_BUCKET = 1 << 21
 MOST_BUCKETS = 1 << 16
 CHUNK_SCHEMA = "chunk long, n_bytes long, rows binary"
+_SQUEEZE, _UNSQUEEZE = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def squeeze(data: bytes) -> bytes:
+    return _SQUEEZE.compress(data)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return _UNSQUEEZE.decompress(data)
+
+
+def numbered_tables(
+    batches: Iterator[pa.RecordBatch], size: str, chunk_bytes: int
+) -> Iterator[tuple[int, int, pa.Table]]:
+    """A task's rows cut into tables of about ``chunk_bytes``: a chunk number no other task
+    gives, the table's weight, and the table."""
+    base, seq = TaskContext.get().partitionId() << 32, 0
+    held: list[pa.RecordBatch] = []
+    weight = 0
+    for batch in batches:
+        sizes = np.maximum(batch.column(size).to_numpy(zero_copy_only=False), 1)
+        ends, at = np.cumsum(sizes), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = int(np.searchsorted(ends, before + chunk_bytes - weight, side="left")) + 1
+            to = min(max(to, at + 1), batch.num_rows)
+            held.append(batch.slice(at, to - at))
+            weight += int(ends[to - 1] - before)
+            at = to
+            if weight >= chunk_bytes:
+                yield base + seq, weight, pa.Table.from_batches(held)
+                held, weight, seq = [], 0, seq + 1
+    if held:
+        yield base + seq, weight, pa.Table.from_batches(held)
+
+
+def pack_rows(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, rows.schema, options=options) as writer:
+        writer.write_table(rows)
+    return sink.getvalue().to_pybytes()
 
 
 def to_chunks(df: DataFrame, size: str, name: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -34,41 +76,12 @@ def to_chunks(df: DataFrame, size: str, name: str, chunk_bytes: int = CHUNK_BYTE
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, seq = TaskContext.get().partitionId() << 32, 0
-        held: list[pa.RecordBatch] = []
-        weight = 0
-
-        def chunk() -> pa.RecordBatch:
-            sink = pa.BufferOutputStream()
-            options = pa.ipc.IpcWriteOptions(compression="zstd")
-            with pa.ipc.new_stream(sink, held[0].schema, options=options) as writer:
-                for part in held:
-                    writer.write_batch(part)
-            return pa.record_batch(
-                [
-                    pa.array([base + seq], pa.int64()),
-                    pa.array([weight], pa.int64()),
-                    pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-                ],
+        for number, weight, rows in numbered_tables(batches, size, chunk_bytes):
+            yield pa.record_batch(
+                [pa.array([number], pa.int64()), pa.array([weight], pa.int64()), pa.array([pack_rows(rows)], pa.binary())],
                 names=["chunk", "n_bytes", "rows"],
             )
 
-        for batch in batches:
-            sizes = np.maximum(batch.column(size).to_numpy(zero_copy_only=False), 1)
-            ends, at = np.cumsum(sizes), 0
-            while at < batch.num_rows:
-                before = ends[at - 1] if at else 0
-                to = int(np.searchsorted(ends, before + chunk_bytes - weight, side="left")) + 1
-                to = min(max(to, at + 1), batch.num_rows)
-                held.append(batch.slice(at, to - at))
-                weight += int(ends[to - 1] - before)
-                at = to
-                if weight >= chunk_bytes:
-                    yield chunk()
-                    held, weight, seq = [], 0, seq + 1
-        if held:
-            yield chunk()
-
     return saved(df.mapInArrow(run, CHUNK_SCHEMA), name, compression="none")
 
 
@@ -87,11 +100,11 @@ def pack_sorted(values: np.ndarray) -> bytes:
     """Ascending unsigned 64-bit values as compressed byte planes of their steps."""
     steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
     planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
-    return zlib.compress(planes.tobytes(), 1)
+    return squeeze(planes.tobytes())
 
 
 def unpack_sorted(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    planes = np.frombuffer(unsqueeze(packed), np.uint8).reshape(8, -1)
     steps = np.ascontiguousarray(planes.T).view("<u8").ravel()
     return np.cumsum(steps, dtype=np.uint64)
 
@@ -99,11 +112,11 @@ def unpack_sorted(packed: bytes) -> np.ndarray:
 def pack_plain(values: np.ndarray) -> bytes:
     """64-bit integers in any order, compressed by byte planes."""
     planes = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T)
-    return zlib.compress(planes.tobytes(), 1)
+    return squeeze(planes.tobytes())
 
 
 def unpack_plain(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    planes = np.frombuffer(unsqueeze(packed), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 

@@ -1,10 +1,12 @@
 """Phrase collocation mining over count streams in prefix and suffix order.
 
-Texts are lower-cased in A-Z, cut into pieces at ``PIECES`` and those into words at
-runs of space and tab. Per language, every phrase of 1 to ``longest`` words is counted
-where it occurs inside a piece (overlaps included). A candidate is a phrase of 2 or
-more words seen at least ``least`` times; every part of it is then seen as often, so
-only phrases at or above ``least`` are kept for what follows.
+Texts are lower-cased in A-Z, cut into pieces at ``.,;:!?`` and line ends and those into
+words at runs of space and tab. Per language, every phrase of 1 to ``longest`` words is
+counted where it occurs inside a piece (overlaps included). A candidate is a phrase of 2
+or more words seen at least ``least`` times; every part of it is then seen as often, so
+only phrases at or above ``least`` are kept for what follows. Most phrases are rarer and
+never travel as strings: chunks of texts, their words numbered and written once, send
+hashes of their phrases first (:func:`frequent`).
 
 The kept counts are laid out twice: sorted by their words (prefix order), and sorted
 by their words reversed (suffix order). In prefix order a phrase follows its own
@@ -26,77 +28,237 @@ returned; Spark limits each task's rows per language before the exchange.
 
 Defined cases: a null text counts as empty and a null language as ``und``; empty and
 blank texts add nothing; repeated rows count each time; an empty table gives no rows;
-columns other than text and language are ignored, whatever their names. Long pieces
-are cut into chunks of ``CHUNK`` words that see the next chunk's first words, so no
-row holds more than a chunk's phrases.
+columns other than text and language are ignored, whatever their names. A task holds
+the words of ``CHUNK_BYTES`` of texts, or of one text if that is longer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starflow.llm import chunks as ch
 from starflow.llm.scratch import saved
+from starflow.llm.substring import _messages, join_hashes, mix
+from starflow.llm.text import tidy
 
 # Where pieces and words are cut, and the letters lower-cased.
-PIECES = r"[.,;:!?\x0A-\x0D]"
-SPACE = r"[\x20\x09]+"
-WORD = r"[^\x20\x09]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-CHUNK = 1024  # words of a long piece handled in one row
+KIND = np.zeros(256, np.uint8)  # 0 in words, 1 between words, 2 between pieces
+KIND[list(b" \t")] = 1
+KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+CHUNK_BYTES = 16 << 20  # of text whose words are numbered and counted together
+HASH_BITS = 48
 
 STREAM = "lang string, key array<string>, f long, p1 long, p2 long, ext long, kind string"
 
 
-def grams(df: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3) -> DataFrame:
-    """One row per phrase occurrence: ``lang`` and ``phrase`` (1 to 3 words, space-joined).
+def _hashes(strings: pa.Array) -> np.ndarray:
+    """64-bit hashes of binary strings, a polynomial of their bytes."""
+    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(strings.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets, size = offsets[:-1] - offsets[0], np.diff(offsets)
+    power = np.cumprod(np.full(int(size.max(initial=0)), 0x9FB21C651E98DF25, np.uint64))
+    value = (data.astype(np.uint64) + np.uint64(1)) * power[np.arange(len(data)) - np.repeat(offsets, size)]
+    total = np.add.reduceat(np.r_[value, np.uint64(0)], offsets) if len(offsets) else value
+    return mix(np.where(size > 0, total, 0) + size.astype(np.uint64))
 
-    Only array functions without lambdas are used, so the whole generation stays in
-    generated code: a chunk is zipped with its next chunk, its words with themselves
-    shifted by one and two places.
+
+def _numbered(table: pa.Table) -> dict[str, pa.Array]:
+    """A chunk's words by number.
+
+    ``words`` and ``langs`` are distinct; an entry is a pair of both (``word_of``,
+    ``lang_of``). ``own`` has the entry of each word of the texts in their order, and
+    ``follows`` says whether the next one stands in the same piece.
     """
-    if longest != 3:
-        raise ValueError("phrases hold one to three words")
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, UPPER.lower())
-    pieces = df.select(
-        F.coalesce(F.col(lang), F.lit("und")).alias("lang"),
-        F.explode(F.split(lowered, PIECES)).alias("piece"),
-    )
-    run = f"{WORD}(?:{SPACE}{WORD}){{0,{CHUNK - 1}}}+"
-    chunks = pieces.select("lang", F.regexp_extract_all("piece", F.lit(run), 0).alias("c"))
-    paired = chunks.select(
-        "lang", F.inline(F.arrays_zip(F.col("c").alias("own"), F.slice("c", 2, F.size("c")).alias("next")))
-    )
-    own = F.split(F.col("own"), SPACE)
-    tail = F.coalesce(F.slice(F.split(F.col("next"), SPACE), 1, longest - 1), F.array().cast("array<string>"))
-    words = paired.select("lang", F.size(own).alias("n_own"), F.concat(own, tail).alias("w"))
-    shifted = F.arrays_zip(
-        F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b"), F.slice("w", 3, F.size("w")).alias("c")
+    text = pc.fill_null(table.column("text").cast(pa.large_string()), "")
+    empty, line = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
+    # Every text ends a piece.
+    text = pa.concat_arrays(pc.binary_join_element_wise(text, empty, line).chunks)
+    lang = pa.concat_arrays(pc.fill_null(table.column("lang").cast(pa.string()), "und").chunks).dictionary_encode()
+    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    kind, offsets = KIND[data], offsets - offsets[0]
+    inside = kind == 0
+    edge = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    follows = ~np.logical_or.reduceat(kind == 2, start) if len(start) else np.zeros(0, bool)
+    ends = pa.py_buffer(np.r_[0, np.cumsum(size)].astype(np.int64))
+    letters = pa.py_buffer(LOWER[data[inside]])
+    word = pa.Array.from_buffers(pa.large_binary(), len(start), [None, ends, letters]).dictionary_encode()
+    of_text = np.repeat(lang.indices.to_numpy(), np.diff(np.searchsorted(start, offsets)))
+    n_words = max(1, len(word.dictionary))
+    entry = pa.array(of_text.astype(np.int64) * n_words + word.indices.to_numpy()).dictionary_encode()
+    pair = entry.dictionary.to_numpy()
+    return {
+        "words": word.dictionary,
+        "langs": lang.dictionary,
+        "word_of": pa.array(pair % n_words, pa.int32()),
+        "lang_of": pa.array(pair // n_words, pa.int32()),
+        "own": entry.indices,
+        "follows": pa.array(follows),
+    }
+
+
+class Grams:
+    """All phrases of a chunk: their hashes, and where they start."""
+
+    def __init__(self, rows: bytes, bits: int) -> None:
+        table = ch.unpack_rows(rows)
+        lists = {name: table.column(name).chunk(0).flatten() for name in table.column_names}
+        self.words, self.langs = lists.pop("words"), lists.pop("langs")
+        own, follows, word_of, lang_of = (
+            lists[x].to_numpy(zero_copy_only=False) for x in ("own", "follows", "word_of", "lang_of")
+        )
+        self.own, self.word_of, self.lang_of = own, word_of, lang_of
+        self.two = np.flatnonzero(follows[:-1]).astype(np.int32)
+        self.three = np.flatnonzero(follows[:-2] & follows[1:-1]).astype(np.int32)
+        one = join_hashes(_hashes(self.words)[word_of], _hashes(self.langs.cast(pa.large_binary()))[lang_of])[own]
+        pairs = join_hashes(one[:-1], one[1:])
+        parts = [one, pairs[self.two], join_hashes(pairs[self.three], one[self.three + 2])]
+        self.hashes = np.concatenate(parts)
+        self.hashes &= ~np.uint64((1 << (64 - bits)) - 1)
+
+    def entries(self, at: np.ndarray) -> list[np.ndarray]:
+        """The entries of up to three words of the phrases at places of ``hashes``; -1 for none."""
+        n, m = len(self.own), len(self.two)
+        start = at.copy()
+        start[(at >= n) & (at < n + m)] = self.two[at[(at >= n) & (at < n + m)] - n]
+        start[at >= n + m] = self.three[at[at >= n + m] - n - m]
+        found = [self.own[start]]
+        for k, least in ((1, n), (2, n + m)):
+            own = np.full(len(at), -1, np.int32)
+            own[at >= least] = self.own[start[at >= least] + k]
+            found.append(own)
+        return found
+
+    def strings(self, entries: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+        """Languages and phrases."""
+        parts = [
+            self.words.take(pa.array(self.word_of[np.maximum(e, 0)], mask=e < 0)).cast(pa.large_string()) for e in entries
+        ]
+        space = pa.scalar(" ", pa.large_string())
+        phrase = pc.binary_join_element_wise(*parts, space, null_handling="skip")
+        return self.langs.take(pa.array(self.lang_of[entries[0]])), phrase
+
+
+def _groups(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places where an ordered array has a new value, and how often each stands there."""
+    head = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
+    return head, np.diff(np.r_[head, len(ordered)])
+
+
+def _number_words(df: DataFrame, text: str, lang: str, chunk_bytes: int) -> DataFrame:
+    """(chunk, n_words, rows, langs, totals): texts as numbered words, written once."""
+    sized = df.select(F.col(text).alias("text"), F.col(lang).alias("lang")).withColumn(
+        "n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     )
-    at = words.select("lang", F.inline(F.slice(shifted, 1, F.col("n_own"))))
-    two = F.when(F.col("b").isNotNull(), F.concat_ws(" ", "a", "b"))
-    three = F.when(F.col("c").isNotNull(), F.concat_ws(" ", "a", "b", "c"))
-    return at.select("lang", F.explode(F.array(F.col("a"), two, three)).alias("phrase")).where("phrase IS NOT NULL")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, _, table in ch.numbered_tables(batches, "n_bytes", chunk_bytes):
+            found = _numbered(table)
+            packed = {k: pa.LargeListArray.from_arrays([0, len(v)], v) for k, v in found.items()}
+            times = np.bincount(found["own"].to_numpy(), minlength=len(found["lang_of"]))
+            totals = np.bincount(found["lang_of"].to_numpy(), times, len(found["langs"])).astype(np.int64)
+            row = (number, len(found["own"]), ch.pack_rows(pa.table(packed)), found["langs"].to_pylist(), totals.tolist())
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
+            yield _messages([row], ["chunk", "n_words", "rows", "langs", "totals"], types)
+        tidy()
 
-def counts(occurrences: DataFrame) -> DataFrame:
-    """``lang``, ``phrase`` (words joined by one space), ``m`` words and count ``f``.
+    schema = "chunk long, n_words long, rows binary, langs array<string>, totals array<long>"
+    return saved(sized.mapInArrow(run, schema), "phrases-words", compression="none")
 
-    The shuffle carries one string a row: the length of the language, a colon, the
-    language and the phrase, which is taken apart after the count.
+
+def frequent(words: DataFrame, least: int, bits: int) -> DataFrame:
+    """``lang``, ``phrase`` and count ``f`` of the phrases seen ``least`` times or more.
+
+    Chunks send the distinct hashes of their phrases, with counts, to buckets of the hash
+    space; a bucket answers which reach ``least``. Only those phrases then travel as
+    strings, once a chunk with their count, and their counts are added up by string: a
+    shared hash lets a rare phrase through to the count, and changes none.
     """
-    key = F.concat(F.char_length("lang").cast("string"), F.lit(":"), F.col("lang"), F.col("phrase"))
-    counted = occurrences.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("f"))
-    size = F.split_part(F.col("_key"), F.lit(":"), F.lit(1)).cast("int")
-    at = F.char_length(size.cast("string")) + 2
-    return counted.select(
-        F.substring(F.col("_key"), at, size).alias("lang"),
-        F.expr("substring(_key, char_length(split_part(_key, ':', 1)) + 2 + int(split_part(_key, ':', 1)))").alias("phrase"),
-        "f",
-    ).withColumn("m", F.size(F.split("phrase", " ")))
+    total = words.agg(F.sum("n_words")).first()[0] or 0
+    buckets = ch.buckets_for(3 * total // 4)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ordered = Grams(row["rows"], bits).hashes
+                ordered.sort()
+                head, times = _groups(ordered)
+                ordered, times = ordered[head], np.minimum(times, least)
+                for b, s in ch.bucket_slices(ordered, buckets):
+                    yield _messages(
+                        [(b, row["chunk"], ch.pack_sorted(ordered[s]), ch.pack_plain(times[s]))],
+                        ["bucket", "chunk", "hashes", "times"],
+                        [pa.int32(), pa.int64(), pa.binary(), pa.binary()],
+                    )
+        tidy()
+
+    def answer(group: pa.Table) -> pa.Table:
+        bucket = group.column("bucket")[0].as_py()
+        hashes = [ch.unpack_sorted(x) for x in group.column("hashes").to_pylist()]
+        times = np.concatenate([ch.unpack_plain(x) for x in group.column("times").to_pylist()])
+        _, which = np.unique(np.concatenate(hashes), return_inverse=True)
+        enough = (np.bincount(which, times) >= least)[which]
+        cuts = np.cumsum([len(x) for x in hashes])[:-1]
+        rows = [
+            (number, bucket, np.packbits(own).tobytes())
+            for number, own in zip(group.column("chunk").to_pylist(), np.split(enough, cuts), strict=True)
+            if own.any()
+        ]
+        tidy()
+        return pa.Table.from_batches([_messages(rows, ["chunk", "bucket", "rows"], [pa.int64(), pa.int32(), pa.binary()])])
+
+    def spell(group: pa.Table) -> pa.Table:
+        sent = dict(zip(group.column("bucket").to_pylist(), group.column("rows").to_pylist(), strict=True))
+        grams = Grams(sent.pop(-1), bits)
+        order = np.argsort(grams.hashes)
+        ordered = grams.hashes[order]
+        grams.hashes = None
+        head, times = _groups(ordered)
+        value, enough = ordered[head], np.zeros(len(head), bool)
+        for b, s in ch.bucket_slices(value, buckets):
+            if b in sent:
+                enough[s] = np.unpackbits(np.frombuffer(sent[b], np.uint8), count=s.stop - s.start)
+        chosen = np.repeat(enough, times)
+        own, at = ordered[chosen], order[chosen]
+        del ordered, order
+        entries = grams.entries(at)
+        # Phrases that share a hash are told apart by their words.
+        new = np.r_[True, own[1:] != own[:-1]][: len(own)]
+        for e in entries:
+            new[1:] |= e[1:] != e[:-1]
+        head = np.flatnonzero(new)
+        own, times = own[head], np.diff(np.r_[head, len(new)])
+        langs, phrase = grams.strings([e[head] for e in entries])
+        spelt = pa.table({"lang": langs, "phrase": phrase, "f": pa.array(times, pa.int64())})
+        rows = [
+            (b, ch.pack_rows(spelt.slice(s.start, s.stop - s.start))) for b, s in ch.bucket_slices(own, buckets)
+        ]
+        tidy()
+        return pa.Table.from_batches([_messages(rows, ["bucket", "rows"], [pa.int32(), pa.binary()])])
+
+    def add_up(group: pa.Table) -> pa.Table:
+        spelt = pa.concat_tables([ch.unpack_rows(x) for x in group.column("rows").to_pylist()])
+        counted = spelt.group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+        counted = counted.filter(pc.greater_equal(counted.column("f_sum"), least))
+        tidy()
+        return pa.table([counted.column(x) for x in ("lang", "phrase", "f_sum")], names=["lang", "phrase", "f"]).cast(
+            pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
+        )
+
+    sent = words.select("chunk", "rows").mapInArrow(send, "bucket int, chunk long, hashes binary, times binary")
+    answers = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, rows binary")
+    both = words.select("chunk", F.lit(-1).alias("bucket"), "rows").unionByName(answers)
+    spelt = both.groupBy("chunk").applyInArrow(spell, "bucket int, rows binary")
+    return spelt.groupBy("bucket").applyInArrow(add_up, "lang string, phrase string, f long")
 
 
 def _stream_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,9 +376,10 @@ def collocations(
     """Per language the ``top`` collocations: lang, rank, phrase, a, l, r, n, score."""
     if longest != 3:
         raise ValueError("the streams hold prefixes of one and two words: longest is 3")
-    counted = saved(counts(grams(df, text, lang, longest)), "phrases-counts")
-    totals = counted.where("m = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    kept = counted.where(F.col("f") >= least)
+    words = _number_words(df, text, lang, CHUNK_BYTES)
+    each = words.select(F.inline(F.arrays_zip(F.col("langs").alias("lang"), F.col("totals").alias("n"))))
+    totals = each.groupBy("lang").agg(F.sum("n").alias("n"))
+    kept = saved(frequent(words, least, HASH_BITS), "phrases-counts")
     left = annotated(kept, reverse=False).where("m >= 2")
     right = annotated(kept, reverse=True).where("m >= 2").select(
         "lang", "phrase", F.col("p1").alias("r1"), F.col("p2").alias("r2"), F.col("ext").alias("lext")

@@ -88,6 +88,36 @@ def test_phrases_of_a_long_piece_cross_chunks(spark):
     assert got["gamma alpha beta"] == (1999, 6000)
 
 
+def test_rare_phrases_are_never_written_or_moved_as_rows(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(300)) + " the end", "en", "s", 0) for i in range(40)]
+    written, plain = [], phrases.saved
+
+    def counted(df, name, **options):
+        out = plain(df, name, **options)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(phrases, "saved", counted)
+    got = phrases.collocations(spark.createDataFrame(rows, SCHEMA).repartition(3), least=10).collect()
+    assert [(r.phrase, r.a, r.n) for r in got] == [("the end", 40, 40 * 302)]
+    assert sum(n for _, n in written) < 100, written  # 36,000 rare phrases
+
+
+@pytest.mark.parametrize("bits", [3, 48])
+def test_phrases_that_share_a_hash_are_counted_apart(spark, bits):
+    rows = phrase_rows(seed=5, docs=120)
+    words = phrases._number_words(spark.createDataFrame(rows, SCHEMA).repartition(4), "text", "lang", 2_000)
+    assert words.count() > 4
+    got = {(r.lang, r.phrase): r.f for r in phrases.frequent(words, 10, bits).collect()}
+    want = Counter()
+    for _, text, lang, _, _ in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", "".join(c.lower() if c < "\x80" else c for c in text)):
+            ws = [w for w in re.split(r"[\x20\x09]+", piece) if w]
+            for m in (1, 2, 3):
+                want.update((lang or "und", " ".join(ws[i : i + m])) for i in range(len(ws) - m + 1))
+    assert got == {k: f for k, f in want.items() if f >= 10}
+
+
 # ---- op12 -------------------------------------------------------------------------
 
 
