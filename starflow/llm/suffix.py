@@ -25,7 +25,6 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +40,7 @@ from starflow.llm.text import keyed_text, tidy
 LENGTH = 50
 GRAM = 20
 MINIMISER_BITS = 48
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18  # hashed together: the arrays of a piece stay in the processor's cache
 HOT_RUNS = 200_000
 HOT = np.uint64(1)
 
@@ -52,7 +51,7 @@ def _grams(data: np.ndarray) -> np.ndarray:
     n = max(0, len(data) - 8 - GRAM + 1)
     first, second, third = eight[:n], eight[8 : n + 8], eight[GRAM - 8 : n + GRAM - 8]
     odd = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-    return mix(mix(first * odd[0] + second * odd[1]) + third * odd[2])
+    return mix(first * odd[0] + second * odd[1] + third * odd[2])
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -100,10 +99,12 @@ class Runs:
         new = np.r_[True, (least[1:] != least[:-1]) | (doc[1 : len(least)] != doc[: len(least) - 1])]
         new |= np.r_[True, inside[1:] != inside[:-1]]
         head = np.flatnonzero(new)
-        place = np.arange(len(least)) - np.repeat(head, np.diff(np.r_[head, len(least)]))
-        new |= place % self.width == 0
-        head = np.flatnonzero(new)
         count = np.diff(np.r_[head, len(least)])
+        if (count > self.width).any():
+            parts = -(-count // self.width)
+            place = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+            head = np.repeat(head, parts) + place * self.width
+            count = np.diff(np.r_[head, len(least)])
         good = inside[head]
         mask = ~np.uint64((1 << (64 - MINIMISER_BITS)) - 1)
         # Mixed again: least hashes are small, and leading bits name the bucket.
@@ -181,10 +182,10 @@ class RunIndex:
         row, col = np.nonzero(valid)
         rank, at_length = self._ranks(row, col, valid)
         # In order of rank, then of row.
-        order = np.sort(rank * len(rank) + np.arange(len(rank))) % max(1, len(rank))
+        order = np.sort(rank.astype(np.int64) * len(rank) + np.arange(len(rank))) % max(1, len(rank))
         self.row, self.col = row[order].astype(np.int32), col[order].astype(np.int32)
         same = at_length[order]
-        same = (same[1:] == same[:-1]).all(axis=1)
+        same = same[1:] == same[:-1]
         # Intervals of equal prefixes of ``length`` bytes, with their least document.
         self.interval = np.flatnonzero(np.r_[True, ~same])
         least = np.minimum.reduceat(owner[self.row], self.interval)
@@ -216,19 +217,21 @@ class RunIndex:
         head = np.r_[True, first[1:] != first[:-1]]
         # A rank is one more than the suffixes before its group, so that groups that are
         # told apart keep theirs and only tied suffixes are sorted again.
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32 if len(order) < (1 << 31) - 1 else np.int64)
         rank[order] = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0)) + 1
         tied = order[~(head & np.r_[head[1:], True])]
         depth, at_length = 8, None
-        table = np.zeros((n, 2 * span + self.length), np.int64)
+        stride = 2 * span + self.length
+        table, place_of = np.zeros(n * stride, rank.dtype), row * stride + col
+        table[place_of] = rank
         while True:
-            table[row, col] = rank
             if at_length is None and (2 * depth > self.length or depth >= span):
-                at_length = np.stack([rank, table[row, col + max(0, self.length - depth)]], axis=1)
+                behind = table[place_of + max(0, self.length - depth)]
+                at_length = rank.astype(np.int64) * (len(order) + 1) + behind
             if depth >= span or not len(tied) and at_length is not None:
                 return rank, at_length
-            old = rank[tied]
-            pair = old * (len(order) + 1) + table[row[tied], np.minimum(col[tied] + depth, table.shape[1] - 1)]
+            old = rank[tied].astype(np.int64)
+            pair = old * (len(order) + 1) + table[place_of[tied] + np.minimum(depth, stride - 1 - col[tied])]
             by_pair = np.argsort(pair)
             tied, old, pair = tied[by_pair], old[by_pair], pair[by_pair]
             place = np.arange(len(tied))
@@ -236,6 +239,7 @@ class RunIndex:
             head = np.r_[True, pair[1:] != pair[:-1]][: len(tied)]
             since = [np.maximum.accumulate(np.where(x, place, 0)) for x in (group, head)]
             rank[tied] = old + since[1] - since[0]
+            table[place_of[tied]] = rank[tied]
             tied = tied[~(head & np.r_[head[1:], True][: len(tied)])]
             depth *= 2
 
@@ -379,7 +383,7 @@ def _match(group: pa.Table, width: int, length: int) -> pa.Table:
     numbers = group.column("chunk").to_pylist()
     bucket = group.column("bucket")[0].as_py()
     strings = [
-        np.frombuffer(zlib.decompress(x), np.uint8).reshape(-1, width)
+        np.frombuffer(ch.unsqueeze(x), np.uint8).reshape(-1, width)
         for x in group.column("strings").to_pylist()
     ]
     least = [ch.unpack_plain(x) for x in group.column("least").to_pylist()]
@@ -402,7 +406,7 @@ def _match(group: pa.Table, width: int, length: int) -> pa.Table:
     for number, own, low in zip(numbers, strings, least, strict=True):
         smaller = known[inverse[at : at + len(own)]] < low[:, None]
         at += len(own)
-        rows.append((number, bucket, zlib.compress(np.packbits(smaller, axis=1).tobytes(), 1)))
+        rows.append((number, bucket, ch.squeeze(np.packbits(smaller, axis=1).tobytes())))
     tidy()
     names, types = ["chunk", "bucket", "answer"], [pa.int64(), pa.int32(), pa.binary()]
     return pa.Table.from_batches([_messages(rows, names, types)])
@@ -439,7 +443,7 @@ def repeated_bytes(
     def send(group: pa.Table) -> pa.Table:
         number, table, own = _shared_of(group)
         rows = [
-            (b, number, zlib.compress(distinct.tobytes(), 1), ch.pack_plain(least), ch.pack_plain(value.view(np.int64)))
+            (b, number, ch.squeeze(distinct.tobytes()), ch.pack_plain(least), ch.pack_plain(value.view(np.int64)))
             for b, _, _, _, distinct, _, least, value in _shards(Runs(table, length), own, second_buckets, width)
         ]
         names = ["bucket", "chunk", "strings", "least", "value"]
@@ -464,7 +468,7 @@ def repeated_bytes(
         change = np.zeros(len(runs.data) + 1, np.int32)
         turn, bucket = group.column("round").to_pylist(), group.column("bucket").to_pylist()
         bits = {
-            b: np.frombuffer(zlib.decompress(x), np.uint8)
+            b: np.frombuffer(ch.unsqueeze(x), np.uint8)
             for x, k, b in zip(group.column("answer").to_pylist(), turn, bucket, strict=True)
             if k == 2
         }

@@ -1,8 +1,10 @@
 """What the run index searches, and that its matches stay exact."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starflow.llm import suffix
@@ -50,3 +52,28 @@ def test_patterns_search_only_when_they_leave_their_run(monkeypatch):
     monkeypatch.setattr(suffix.np, "searchsorted", lambda a, v, *x, **y: searched.append(len(v)) or plain(a, v, *x, **y))
     index.least_documents(rows)
     assert sum(searched) < (rows != 0).sum() / 2
+
+
+def test_runs_are_found_in_small_pieces():
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choices("abcdefgh ", k=8_000)) for _ in range(300)]
+    table = pa.table({"doc_id": list(range(300)), "text": texts})
+    tracemalloc.start()
+    suffix.Runs(table, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14 * 300 * 8_000
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_cover_every_window_once_and_stay_short(seed):
+    rnd = random.Random(seed)
+    texts = ["ab" * 300, "x" * 777, "", None, "".join(rnd.choices("ab", k=500)), "short"]
+    rnd.shuffle(texts)
+    runs = suffix.Runs(pa.table({"doc_id": list(range(6)), "text": pa.array(texts, pa.string())}), 50)
+    assert runs.count.max() <= runs.width
+    found = sorted(int(s) + k for s, c in zip(runs.start, runs.count, strict=True) for k in range(c))
+    want = [int(runs.first[d]) + k for d, t in enumerate(texts) for k in range(len(t or "") - 49)]
+    assert found == sorted(want)
+    for s, d in zip(runs.start, runs.doc, strict=True):
+        assert runs.first[d] <= s < runs.first[d] + runs.sizes[d]
