@@ -14,7 +14,10 @@ from starflow.operators.checks import RATE, rate, union_all
 # out; columns that merely come close are settled by the exact count.
 _SKETCH_ERROR = 0.05
 _SKETCH_MARGIN = 0.5
-_WITNESS_VALUES = 1 << 14  # values of a column set that are searched for a repeat
+_WITNESS_VALUES = 1 << 16  # rows that are searched first for a repeat in a column set
+_WITNESS_ROUNDS = (1, 16)  # times that many; the later only for the sets that are left
+_LEAST_SHARE = 4  # below, a part of the rows saves too little
+_PART_VALUES = 8  # values of a column that a part of it has at least, by the sketch
 _SETS_PER_SCAN = 32
 
 
@@ -225,7 +228,7 @@ def minimal_keys(df: DataFrame, name: str, *, most: int = 3) -> DataFrame:
             for s in combinations(usable, size)
             if not any(set(k) <= set(s) for k in found) and _product(estimate[c] for c in s) >= enough
         ]
-        found += _unique_sets(df, sets, rows)
+        found += _unique_sets(df, sets, rows, estimate)
     described = [
         (name, ", ".join(k), len(k), rows) for k in sorted(found, key=lambda k: [columns.index(c) for c in k])
     ] or [(name, None, 0, rows)]
@@ -234,26 +237,21 @@ def minimal_keys(df: DataFrame, name: str, *, most: int = 3) -> DataFrame:
     )
 
 
-def _unique_sets(df: DataFrame, sets: list[tuple[str, ...]], rows: int) -> list[tuple[str, ...]]:
+def _unique_sets(
+    df: DataFrame, sets: list[tuple[str, ...]], rows: int, estimate: Mapping[str, int]
+) -> list[tuple[str, ...]]:
     """The column sets that no two rows share values of; exact.
 
-    Sets are first refuted by witnesses: of each set, only the values in one part of the
-    hash space (about ``_WITNESS_VALUES`` of them, every row that holds them) are
-    counted, and a value held twice proves that the set is no key. What moves does not
-    grow with the rows. Sets without a witness are counted over all rows by their
+    Sets are first refuted by witnesses (:func:`_refuted`) among few rows, then those
+    left among more. Sets without a witness are counted over all rows by their
     64-bit hash; a hash held once by each row proves a key, and one held by several rows
     is settled by the values themselves.
     """
-    share = max(1, rows // _WITNESS_VALUES)
-    if share > 1 and sets:
-        twice = (
-            _set_rows(df, sets, share)
-            .groupBy("i", "h", "v")
-            .agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") > 1)
-        )
-        refuted = {r[0] for r in twice.select("i").distinct().collect()}
-        sets = [s for i, s in enumerate(sets) if i not in refuted]
+    for times in _WITNESS_ROUNDS:
+        share = rows // (_WITNESS_VALUES * times)
+        if share >= _LEAST_SHARE and sets:
+            refuted = _refuted(df, sets, share, estimate)
+            sets = [s for s in sets if s not in refuted]
     if not sets:
         return []
     shared = (
@@ -275,30 +273,57 @@ def _unique_sets(df: DataFrame, sets: list[tuple[str, ...]], rows: int) -> list[
     ]
 
 
+def _refuted(
+    df: DataFrame, sets: list[tuple[str, ...]], share: int, estimate: Mapping[str, int]
+) -> set[tuple[str, ...]]:
+    """Sets with values that two rows hold, found in one part of ``share`` of the rows.
+
+    The part is cut by the hash of one column of the set, that of most values, so rows
+    that agree in the set are in the part together or not at all, and the part of a
+    column serves all its sets: each row is hashed once a column, not once a set. A
+    part that a frequent value fills is thinned by the hash of the set itself.
+    """
+    by_column: dict[str, list[tuple[str, ...]]] = {}
+    for s in sets:
+        by_column.setdefault(max(s, key=lambda c: estimate[c]), []).append(s)
+    inside = {
+        c: F.pmod(F.xxhash64(c), F.lit(max(1, min(share, estimate[c] // _PART_VALUES)))) == 0 for c in by_column
+    }
+    held = df.agg(*[F.count(F.when(part, 1)).alias(f"n_{i}") for i, part in enumerate(inside.values())]).first()
+    counted, numbered = [], []
+    for i, (c, own) in enumerate(by_column.items()):
+        thin = max(1, held[f"n_{i}"] // (_LEAST_SHARE * _WITNESS_VALUES * _WITNESS_ROUNDS[-1]))
+        part = df.where(inside[c]).select(*dict.fromkeys(x for s in own for x in s))
+        counted.append(_witness_rows(part, own, thin, len(numbered)))
+        numbered += own
+    twice = union_all(counted).groupBy("i", "h", "v").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+    return {numbered[r[0]] for r in twice.select("i").distinct().collect()}
+
+
 def _held_twice(df: DataFrame, columns: tuple[str, ...]) -> bool:
     per_value = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     return not per_value.where(F.col("__n") > 1).isEmpty()
 
 
 def _set_rows(df: DataFrame, sets: list[tuple[str, ...]], share: int = 1) -> DataFrame:
-    """Per row and column set ``i`` the hash ``h`` of its values.
+    """Per row and column set ``i`` the hash ``h`` of its values; a set reads its columns only.
 
-    With a ``share`` only the values in one part of that many of the hash space, and
-    the values themselves as ``v``.
+    With a ``share`` only the values in one part of that many of the hash space.
     """
+    rows = union_all([df.select(F.lit(i).alias("i"), F.xxhash64(*s).alias("h")) for i, s in enumerate(sets)])
+    return rows.where(F.pmod("h", F.lit(share)) == 0) if share > 1 else rows
+
+
+def _witness_rows(part: DataFrame, sets: list[tuple[str, ...]], share: int, first: int) -> DataFrame:
+    """As :func:`_set_rows`, in one scan, with the values as ``v``; sets are numbered from ``first``."""
     parts = []
     for at in range(0, len(sets), _SETS_PER_SCAN):
         each = []
-        for i, s in enumerate(sets[at : at + _SETS_PER_SCAN], start=at):
-            h = F.xxhash64(*s)
-            known = [F.lit(i).alias("i"), h.alias("h")]
-            if share > 1:
-                v = F.array(*[F.col(c).cast("string") for c in s]).alias("v")
-                each.append(F.when(F.pmod(h, F.lit(share)) == 0, F.struct(*known, v)))
-            else:
-                each.append(F.struct(*known))
-        one = F.array(*each)
-        parts.append(df.select(F.inline(F.array_compact(one) if share > 1 else one)))
+        for i, s in enumerate(sets[at : at + _SETS_PER_SCAN], start=first + at):
+            v = F.array(*[F.col(c).cast("string") for c in s])
+            each.append(F.struct(F.lit(i).alias("i"), F.xxhash64(*s).alias("h"), v.alias("v")))
+        rows = part.select(F.inline(F.array(*each)))
+        parts.append(rows.where(F.pmod("h", F.lit(share)) == 0) if share > 1 else rows)
     return union_all(parts)
 
 
